@@ -1,0 +1,58 @@
+"""File-system access from Python tasks through ``pyarrow.fs``, so custom
+sources and sinks work on any path the cluster's shared storage offers
+(local / mounted, HDFS, object stores), not only the driver's disk."""
+
+from __future__ import annotations
+
+import re
+
+import pyarrow.fs as pafs
+
+
+def resolve(path: str):
+    """(filesystem, path-inside-it) for a URI or plain path."""
+    if path.startswith("file:") and not path.startswith("file:///"):
+        path = "file:///" + re.sub(r"^file:/+", "", path)
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path
+
+
+def list_files(path: str, suffix: str | None = None) -> list[str]:
+    fs, p = resolve(path)
+    info = fs.get_file_info(pafs.FileSelector(p, allow_not_found=True, recursive=False))
+    out = [i.path for i in info if i.type == pafs.FileType.File
+           and not i.base_name.startswith(("_", "."))
+           and (suffix is None or i.base_name.endswith(suffix))]
+    return sorted(out)
+
+
+def list_dirs(path: str) -> list[str]:
+    fs, p = resolve(path)
+    info = fs.get_file_info(pafs.FileSelector(p, allow_not_found=True, recursive=False))
+    return sorted(i.base_name for i in info if i.type == pafs.FileType.Directory)
+
+
+def with_fs(path: str, inner: str) -> str:
+    """Re-attach the scheme of ``path`` to a path returned by a listing."""
+    m = re.match(r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*)", path)
+    if path.startswith("file:"):
+        return "file://" + inner if inner.startswith("/") else inner
+    return (m.group(1) + inner) if m else inner
+
+
+def iter_lines(path: str, chunk: int = 1 << 20):
+    """Lines of a UTF-8 text file, streamed in chunks (no whole-file read)."""
+    fs, p = resolve(path)
+    with fs.open_input_stream(p) as f:
+        rest = b""
+        while True:
+            data = f.read(chunk)
+            if not data:
+                break
+            rest += data
+            *lines, rest = rest.split(b"\n")
+            for ln in lines:
+                yield ln.decode("utf-8")
+        if rest:
+            yield rest.decode("utf-8")
