@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
 
 from eventflow.functions.time import epoch_us, interval_us
 
@@ -30,12 +31,24 @@ US = "__us"
 BUCKET = "__b"
 
 
+def _position(df: DataFrame, col: str) -> Column:
+    """Epoch micros for a timestamp order column; the value itself for a
+    numeric one (then the bucket width is in the column's own units)."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, (TimestampType, TimestampNTZType)):
+        return epoch_us(col, df)
+    if isinstance(dt, NumericType):
+        return F.floor(F.col(col)).cast("long")
+    raise TypeError(f"order column {col!r} must be a timestamp or a number, not {dt}")
+
+
 def with_bucket(df: DataFrame, ts: str, bucket: str | int) -> DataFrame:
-    """Add ``__us`` (epoch micros of ``ts``) and ``__b`` (floor(us / width))."""
+    """Add ``__us`` (epoch micros of ``ts``, or a numeric position) and
+    ``__b`` (floor(us / width))."""
     b_us = interval_us(bucket)
     if b_us <= 0:
         raise ValueError("bucket width must be positive")
-    return (df.withColumn(US, epoch_us(ts, df))
+    return (df.withColumn(US, _position(df, ts))
               .withColumn(BUCKET, F.expr(f"({US} - pmod({US}, {b_us})) div {b_us}")))
 
 

@@ -38,8 +38,14 @@ def _catalog(spark, sf):
     return catalog_events(_events(spark, sf))
 
 
-REG = F.col("event_type") == S.REGISTERED
-ADD = F.col("event_type") == S.ADD
+def REG():
+    return F.col("event_type") == S.REGISTERED
+
+
+def ADD():
+    return F.col("event_type") == S.ADD
+
+
 REG_SQL = "event_type = 'PlayerRegistered'"
 ADD_SQL = "event_type = 'AddToShoppingCartEvent'"
 
@@ -55,7 +61,7 @@ FROM (SELECT *, {wstart('epoch_us(ts)', size_us)} AS ws FROM {view}) GROUP BY {k
 @query("tumbling_registrations", _tumbling_sql(SERVER, HOUR, f"count(*) FILTER (WHERE {REG_SQL})"))
 def tumbling_registrations(spark, sf):
     """Registrations per 1-hour window over all server events (0 kept)."""
-    return windows.tumbling_count(_server(spark, sf), "1 hour", REG)
+    return windows.tumbling_count(_server(spark, sf), "1 hour", REG())
 
 
 @query("tumbling_total", _tumbling_sql(CART, 3 * HOUR, "count(*)"))
@@ -83,14 +89,14 @@ GROUP BY s"""
 @query("sliding_registrations", _sliding_sql(SERVER, 3 * HOUR, HOUR, f"count(*) FILTER (WHERE {REG_SQL})"))
 def sliding_registrations(spark, sf):
     """Registrations per sliding window, size 3 h, slide 1 h."""
-    return windows.sliding_count(_server(spark, sf), "3 hours", "1 hour", REG)
+    return windows.sliding_count(_server(spark, sf), "3 hours", "1 hour", REG())
 
 
 @query("busiest_window", "SELECT * FROM (" + _sliding_sql(SERVER, 2 * HOUR, HOUR, "count(*)", REG_SQL)
        + ") ORDER BY n DESC, window_start LIMIT 1")
 def busiest_window(spark, sf):
     """The 2 h / 1 h sliding window with most registrations (earliest on ties)."""
-    return windows.busiest_window(_server(spark, sf), "2 hours", "1 hour", REG)
+    return windows.busiest_window(_server(spark, sf), "2 hours", "1 hour", REG())
 
 
 def _session_sql(view: str, gap_us: int, agg: str, key: str | None = None) -> str:
@@ -109,7 +115,7 @@ FROM g GROUP BY {k}sid"""
 @query("session_registrations", _session_sql(SERVER, 10 * MIN, f"count(*) FILTER (WHERE {REG_SQL})"))
 def session_registrations(spark, sf):
     """Sessions (gap 10 min) over all server events, registrations counted."""
-    return windows.session_count(_server(spark, sf), "10 minutes", predicate=REG)
+    return windows.session_count(_server(spark, sf), "10 minutes", predicate=REG())
 
 
 @query("session_by_user", _session_sql(SERVER, 6 * HOUR, "count(*)", "player_id"))
@@ -124,7 +130,7 @@ def session_by_user(spark, sf):
 WHERE rn % 10 = 0""")
 def global_count_windows(spark, sf):
     """Global window firing every 10 server events; registrations so far."""
-    return windows.count_windows(_server(spark, sf), 10, REG)
+    return windows.count_windows(_server(spark, sf), 10, REG())
 
 
 @query("global_count_windows_purging", f"""SELECT g AS firing_no, count(*) FILTER (WHERE reg) AS n FROM (
@@ -132,7 +138,7 @@ def global_count_windows(spark, sf):
 GROUP BY g HAVING count(*) = 10""")
 def global_count_windows_purging(spark, sf):
     """W8 purging: registrations among each block of 10 events."""
-    return windows.count_windows(_server(spark, sf), 10, REG, purge=True)
+    return windows.count_windows(_server(spark, sf), 10, REG(), purge=True)
 
 
 def _early_sql(size_us: int, every: int, purge: bool) -> str:
@@ -272,7 +278,7 @@ def expand_range(spark, sf):
 FROM {CART} WHERE {ADD_SQL} AND quantity > 0""")
 def explode_by_quantity(spark, sf):
     """One row per purchased item."""
-    adds = _cart(spark, sf).filter(ADD)
+    adds = _cart(spark, sf).filter(ADD())
     return transforms.explode_by_quantity(adds).select("event_id", "item")
 
 
@@ -345,7 +351,7 @@ JOIN (SELECT *, {wstart('epoch_us(ts)', 6 * HOUR)} AS ws FROM {CATALOG}) r
   ON l.user_id = r.user_id AND l.ws = r.ws""")
 def window_join(spark, sf):
     """Purchases and product views of one user in the same 6-hour window."""
-    left = _cart(spark, sf).filter(ADD).select(F.col("event_id").alias("left_id"), "user_id", "ts")
+    left = _cart(spark, sf).filter(ADD()).select(F.col("event_id").alias("left_id"), "user_id", "ts")
     j = joins.window_join(left, _right_catalog(spark, sf), [("user_id", "r_user_id")], "6 hours",
                           left_ts="ts", right_ts="right_ts")
     return j.select("window_start", "window_end", "user_id", "left_id", "right_id")
@@ -357,7 +363,7 @@ FROM (SELECT * FROM {CART} WHERE {ADD_SQL}) l JOIN {CATALOG} r
   ON l.user_id = r.user_id AND r.ts > l.ts - INTERVAL 2 HOUR AND r.ts < l.ts + INTERVAL 2 HOUR""")
 def interval_join(spark, sf):
     """Product views within (-2 h, 2 h) of a purchase, bounds exclusive."""
-    left = _cart(spark, sf).filter(ADD).select(F.col("event_id").alias("left_id"), "user_id",
+    left = _cart(spark, sf).filter(ADD()).select(F.col("event_id").alias("left_id"), "user_id",
                                                F.col("ts").alias("left_ts"))
     j = joins.interval_join(left, _right_catalog(spark, sf), [("user_id", "r_user_id")],
                             "-2 hours", "2 hours", left_ts="left_ts", right_ts="right_ts",

@@ -33,15 +33,15 @@ def decode_person(df: DataFrame, mode: str = "failfast", value: str = "value") -
     """
     text = F.col(value).cast("string")
     parts = F.split(text, ",", -1)
-    name = F.element_at(parts, 1)
-    age_txt = F.element_at(parts, 2)
+    name = F.try_element_at(parts, F.lit(1))
+    age_txt = F.try_element_at(parts, F.lit(2))
     ok = age_txt.rlike("^[+-]?[0-9]+$")
     if mode == "failfast":
         age = F.when(ok, age_txt.cast("int")).otherwise(
             F.raise_error(F.concat(F.lit("malformed person record: "), F.coalesce(text, F.lit("null")))))
         return df.select(name.alias("name"), age.alias("age"))
     if mode == "permissive":
-        age = F.when(ok, F.expr("try_cast(element_at(split(CAST(" + value + " AS STRING), ',', -1), 2) AS INT)"))
+        age = F.when(ok, age_txt.try_cast("int"))
         bad = F.when(~F.coalesce(ok, F.lit(False)) | age.isNull(), text)
         return df.select(name.alias("name"), age.alias("age"), bad.alias("_corrupt_record"))
     raise ValueError(f"unknown mode {mode!r}")
