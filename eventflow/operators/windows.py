@@ -34,7 +34,9 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "500 millisecond
 
     A window ``[s, e)`` is final once ``max(event_time) - delay >= e``; late
     rows for a final window are dropped (the reference's rule, with its
-    1 ms offset, evicts on the same condition).
+    1 ms offset, evicts on the same condition). Spark tests lateness against
+    the watermark of the previous micro-batch, so a late row that arrives in
+    the batch right after the one that closed its window can still count.
     """
     src = F.col(ts)
     if str(df.schema[ts].dataType) == "TimestampNTZType()":

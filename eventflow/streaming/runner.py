@@ -64,3 +64,40 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hpath)
+
+
+def run_until_caught_up(df: DataFrame, name: str, output_mode: str = "append",
+                        path: str | None = None, checkpoint: str | None = None,
+                        every: str = "1 second", expected_rows: int | None = None,
+                        timeout_s: float = 120.0) -> DataFrame:
+    """Like :func:`run_available_now` but with a processing-time trigger,
+    stopped once the input is consumed. Needed for processing-time state
+    programs (TTL, timers), whose no-data batches keep an ``availableNow``
+    query (and ``processAllAvailable``) from finishing. With
+    ``expected_rows`` the query stops once that many input rows were read."""
+    import time
+
+    spark = df.sparkSession
+    ensure_state_store(spark)
+    path = path or scratch_path(spark, name)
+    checkpoint = checkpoint or f"{path}__checkpoint"
+    q = (df.writeStream.format("parquet")
+           .option("path", path)
+           .option("checkpointLocation", checkpoint)
+           .outputMode(output_mode)
+           .trigger(processingTime=every)
+           .start())
+    deadline = time.time() + timeout_s
+    try:
+        while time.time() < deadline and q.isActive:
+            seen = sum(p.get("numInputRows", 0) for p in q.recentProgress)
+            idle = q.lastProgress is not None and q.lastProgress.get("numInputRows", 0) == 0
+            if (expected_rows is not None and seen >= expected_rows and idle) or \
+               (expected_rows is None and seen > 0 and idle):
+                break
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(df.schema).parquet(path)
