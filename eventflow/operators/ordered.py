@@ -111,16 +111,18 @@ def running_last(df: DataFrame, value: str, name: str, order: Sequence[str] = ("
     d = with_bucket(df, order[0], bucket)
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = d.withColumn("__in", F.last(F.col(value), ignorenulls=True).over(w_in))
-    # last non-null value of each bucket: max of (order..., value) over non-null rows
-    last_in_bucket = F.max(F.when(F.col(value).isNotNull(),
-                                  F.struct(*_order_cols(order), F.col(value).alias("__val"))))
-    totals = d.groupBy(*keys, BUCKET).agg(last_in_bucket["__val"].alias("__t"))
+    w_all = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    inner = (d.withColumn("__in", F.last(F.col(value), ignorenulls=True).over(w_in))
+              .withColumn("__bl", F.last(F.col(value), ignorenulls=True).over(w_all)))
+    # the bucket's last non-null value, read off the window (same partitioning,
+    # so no extra shuffle) and reduced with a fixed-width hash aggregate
+    totals = inner.groupBy(*keys, BUCKET).agg(F.first("__bl").alias("__t"))
     w_b = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BUCKET, F.last("__t", ignorenulls=True).over(w_b).alias("__o"))
     out = _join_back(inner, carry, keys)
     return (out.withColumn(name, F.coalesce(F.col("__in"), F.col("__o")))
-               .drop("__in", "__o", US, BUCKET))
+               .drop("__in", "__bl", "__o", US, BUCKET))
 
 
 def sessionize(df: DataFrame, gap: str | int, order: Sequence[str] = ("ts", "event_id"),
