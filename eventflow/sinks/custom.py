@@ -1,7 +1,7 @@
 """K7: a custom rich sink: open once per task, write every row, close.
 
-``append_lines`` is a Python Data Source writer. Each task writes its rows
-to a temporary file and returns a commit message; the driver's ``commit``
+``append_lines`` is a Python Data Source writer on Arrow batches. Each task
+writes its rows to a temporary file and returns a commit message; the driver's ``commit``
 publishes the batch's files under deterministic names
 (``batch-<id>-part-<partition>.txt``), so every row is written exactly once
 and a replayed micro-batch overwrites rather than duplicates. ``abort``
@@ -14,7 +14,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import (
-    DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage,
 )
 
 from eventflow.fsutil import resolve
@@ -27,7 +27,9 @@ class LinesCommit(WriterCommitMessage):
     rows: int
 
 
-def _write_partition(base: str, iterator) -> LinesCommit:
+def _write_partition(base: str, batches) -> LinesCommit:
+    """Open once per task, write every row of every Arrow batch, close."""
+    import pyarrow.compute as pc
     from pyspark import TaskContext
     ctx = TaskContext.get()
     pid = ctx.partitionId() if ctx else 0
@@ -35,12 +37,14 @@ def _write_partition(base: str, iterator) -> LinesCommit:
     fs.create_dir(f"{root}/_tmp", recursive=True)
     tmp = f"{root}/_tmp/{uuid.uuid4().hex}.txt"
     n = 0
-    with fs.open_output_stream(tmp) as out:          # open once
-        for row in iterator:                          # invoke per row
-            v = row[0]
-            out.write(("" if v is None else str(v)).encode("utf-8") + b"\n")
-            n += 1
-    return LinesCommit(tmp, pid, n)                   # close
+    with fs.open_output_stream(tmp) as out:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            col = pc.fill_null(batch.column(0).cast("string"), "")
+            out.write(("\n".join(col.to_pylist()) + "\n").encode("utf-8"))
+            n += batch.num_rows
+    return LinesCommit(tmp, pid, n)
 
 
 def _publish(base: str, messages, batch_id: int | None) -> None:
@@ -63,7 +67,7 @@ def _discard(base: str, messages) -> None:
                 pass
 
 
-class LinesStreamWriter(DataSourceStreamWriter):
+class LinesStreamWriter(DataSourceStreamArrowWriter):
     def __init__(self, path: str):
         self.path = path
 
@@ -77,7 +81,7 @@ class LinesStreamWriter(DataSourceStreamWriter):
         _discard(self.path, messages)
 
 
-class LinesWriter(DataSourceWriter):
+class LinesWriter(DataSourceArrowWriter):
     def __init__(self, path: str):
         self.path = path
         self.job = uuid.uuid4().hex[:8]

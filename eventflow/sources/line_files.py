@@ -14,6 +14,21 @@ from pyspark.sql.datasource import (
 
 from eventflow.fsutil import iter_lines, list_files
 
+BATCH_LINES = 8192
+
+
+def _line_batches(path: str):
+    """Arrow record batches of ``value`` lines (no per-row Python tuples)."""
+    import pyarrow as pa
+    buf = []
+    for line in iter_lines(path):
+        buf.append(line)
+        if len(buf) >= BATCH_LINES:
+            yield pa.RecordBatch.from_arrays([pa.array(buf, pa.string())], ["value"])
+            buf = []
+    if buf:
+        yield pa.RecordBatch.from_arrays([pa.array(buf, pa.string())], ["value"])
+
 
 class FilePartition(InputPartition):
     def __init__(self, path: str):
@@ -40,8 +55,7 @@ class LineFilesStreamReader(DataSourceStreamReader):
         return [FilePartition(f) for f in files]
 
     def read(self, partition: FilePartition):
-        for line in iter_lines(partition.path):
-            yield (line,)
+        yield from _line_batches(partition.path)
 
     def commit(self, end: dict) -> None:
         pass
@@ -56,8 +70,7 @@ class LineFilesReader(DataSourceReader):
         return [FilePartition(f) for f in list_files(self.path, self.suffix)]
 
     def read(self, partition: FilePartition):
-        for line in iter_lines(partition.path):
-            yield (line,)
+        yield from _line_batches(partition.path)
 
 
 class LineFiles(DataSource):
