@@ -60,10 +60,18 @@ def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, st
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Whether ``path`` exists (Hadoop FS of the session; pyarrow as fallback)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001  (e.g. no JVM handle)
+        import pyarrow.fs as pafs
+
+        from eventflow.fsutil import resolve
+        fs, p = resolve(path)
+        return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
 def run_until_caught_up(df: DataFrame, name: str, output_mode: str = "append",
