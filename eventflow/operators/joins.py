@@ -75,7 +75,7 @@ def fixed_threshold(cart: DataFrame, threshold: int = 2, with_message: bool = Tr
 
 def rule_as_of(events: DataFrame, rules: DataFrame, default: int = 0, ts: str = "ts",
                tie: str = "event_id", rule_ts: str = "effective_ts", rule_value: str = "value",
-               rule_tie: str = "rule_id", name: str = "threshold", bucket: str = "1 day") -> DataFrame:
+               rule_tie: str = "rule_id", name: str = "threshold", bucket: str | None = None) -> DataFrame:
     """J6 core: the newest rule value with ``effective_ts <= ts`` for every
     event (``default`` before the first rule). An as-of join.
 
@@ -101,7 +101,7 @@ def rule_as_of(events: DataFrame, rules: DataFrame, default: int = 0, ts: str =
 
 
 def changing_threshold(cart: DataFrame, rules: DataFrame, default: int = 0,
-                       with_message: bool = True, bucket: str = "1 day") -> DataFrame:
+                       with_message: bool = True, bucket: str | None = None) -> DataFrame:
     """Add rows whose quantity is above the threshold in force at their
     time (rule stream broadcast to all keys in the reference)."""
     adds = cart.filter(F.col("event_type") == S.ADD)

@@ -30,6 +30,20 @@ from eventflow.functions.time import epoch_us, interval_us
 US = "__us"
 BUCKET = "__b"
 
+# Default bucket widths when the caller gives none. Keyless running values
+# are split by time alone, so their buckets are fine (a month is ~43k
+# one-minute buckets: the bucket table stays small while no single bucket
+# holds a large share of a big, dense stream). Keyed ones are already split
+# by key; an hour keeps their bucket table well below the row count.
+KEYLESS_BUCKET = "1 minute"
+KEYED_BUCKET = "1 hour"
+
+
+def auto_bucket(keys: Sequence[str], bucket: str | int | None) -> str | int:
+    if bucket is not None:
+        return bucket
+    return KEYED_BUCKET if list(keys) else KEYLESS_BUCKET
+
 
 def _position(df: DataFrame, col: str) -> Column:
     """Epoch micros for a timestamp order column; the value itself for a
@@ -69,7 +83,7 @@ def _join_back(inner: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] = ("ts", "event_id"),
-                 keys: Sequence[str] = (), bucket: str | int = "1 day",
+                 keys: Sequence[str] = (), bucket: str | int | None = None,
                  keep_internal: bool = False) -> DataFrame:
     """Inclusive running sums per ``keys`` in ``order`` (first column = time).
 
@@ -78,7 +92,7 @@ def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] =
     """
     keys = list(keys)
     ts = order[0]
-    d = with_bucket(df, ts, bucket)
+    d = with_bucket(df, ts, auto_bucket(keys, bucket))
     vcols = {}
     for name, expr in sums.items():
         vcols[name] = f"__v_{name}"
@@ -99,16 +113,16 @@ def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] =
 
 
 def row_numbers(df: DataFrame, name: str = "rn", order: Sequence[str] = ("ts", "event_id"),
-                keys: Sequence[str] = (), bucket: str | int = "1 day") -> DataFrame:
+                keys: Sequence[str] = (), bucket: str | int | None = None) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order)``, bucketed."""
     return running_sums(df, {name: F.lit(1).cast("long")}, order, keys, bucket)
 
 
 def running_last(df: DataFrame, value: str, name: str, order: Sequence[str] = ("ts", "event_id"),
-                 keys: Sequence[str] = (), bucket: str | int = "1 day") -> DataFrame:
+                 keys: Sequence[str] = (), bucket: str | int | None = None) -> DataFrame:
     """Last non-null ``value`` so far (inclusive) per ``keys`` in ``order``."""
     keys = list(keys)
-    d = with_bucket(df, order[0], bucket)
+    d = with_bucket(df, order[0], auto_bucket(keys, bucket))
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_all = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
@@ -126,7 +140,7 @@ def running_last(df: DataFrame, value: str, name: str, order: Sequence[str] = ("
 
 
 def sessionize(df: DataFrame, gap: str | int, order: Sequence[str] = ("ts", "event_id"),
-               keys: Sequence[str] = (), bucket: str | int = "1 day",
+               keys: Sequence[str] = (), bucket: str | int | None = None,
                name: str = "session_start_us") -> DataFrame:
     """Tag each row with the epoch-micros start of its session.
 
@@ -136,7 +150,7 @@ def sessionize(df: DataFrame, gap: str | int, order: Sequence[str] = ("ts", "eve
     """
     keys = list(keys)
     gap_us = interval_us(gap)
-    d = with_bucket(df, order[0], bucket)
+    d = with_bucket(df, order[0], auto_bucket(keys, bucket))
     w_in = Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
     d = d.withColumn("__prev", F.lag(US).over(w_in))
     d = d.withColumn("__gs", F.when(F.col("__prev").isNotNull() & (F.col(US) - F.col("__prev") > gap_us),

@@ -24,7 +24,7 @@ ORDER = ("ts", "event_id")
 
 
 def rolling_reduce(df: DataFrame, key: str | Sequence[str], value: str, name: str = "running",
-                   order: Sequence[str] = ORDER, bucket: str = "1 day") -> DataFrame:
+                   order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
     """A1: the key's running sum of ``value`` after every row."""
     keys = [key] if isinstance(key, str) else list(key)
     return ordered.running_sums(df, {name: F.col(value).cast("long")}, order, keys, bucket)
@@ -37,14 +37,14 @@ def final_reduce(df: DataFrame, key: str | Sequence[str], value: str, name: str
 
 
 def running_count(df: DataFrame, key: str = "user_id", name: str = "n",
-                  order: Sequence[str] = ORDER, bucket: str = "1 day") -> DataFrame:
+                  order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
     """A4: events seen so far for the row's key (value-state meaning)."""
     return ordered.row_numbers(df, name, order, [key], bucket)
 
 
 def running_type_counts(df: DataFrame, key: str = "user_id", type_col: str = "event_type",
                         types: Sequence[str] = (S.ADD, S.REMOVED), name: str = "counts",
-                        order: Sequence[str] = ORDER, bucket: str = "1 day",
+                        order: Sequence[str] = ORDER, bucket: str | None = None,
                         as_map: bool = True) -> DataFrame:
     """A5: running count per (key, event type), emitted as the key's whole map.
 
@@ -62,7 +62,7 @@ def running_type_counts(df: DataFrame, key: str = "user_id", type_col: str = "ev
 
 
 def running_list_size(df: DataFrame, key: str = "user_id", max_items: int | None = None,
-                      name: str = "n", order: Sequence[str] = ORDER, bucket: str = "1 day") -> DataFrame:
+                      name: str = "n", order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
     """Size of the key's event list after adding the row.
 
     Unbounded by default (the list keeps every event); with ``max_items`` the
@@ -102,7 +102,7 @@ def retained_count(df: DataFrame, key: str = "user_id", retention: str = "1 hour
 
 
 def count_with_reset(df: DataFrame, key: str = "user_id", limit: int = 10, name: str = "n",
-                     order: Sequence[str] = ORDER, bucket: str = "1 day") -> DataFrame:
+                     order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
     """A list cleared when its size exceeds ``limit``; the clear comes
     before the emit, so the crossing row emits 0: 1..limit, 0, 1, ..."""
     r = ordered.row_numbers(df, "__rn", order, [key], bucket)
@@ -110,7 +110,7 @@ def count_with_reset(df: DataFrame, key: str = "user_id", limit: int = 10, name:
 
 
 def high_quantity_counts(cart: DataFrame, threshold: int = 5, key: str = "user_id", name: str = "n",
-                         order: Sequence[str] = ORDER, bucket: str = "1 day") -> DataFrame:
+                         order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
     """Per user, the count of Add events with ``quantity > threshold``,
     emitted on qualifying rows only. Removed events are ignored."""
     q = cart.filter((F.col("event_type") == S.ADD) & (F.col("quantity") > threshold))
@@ -125,7 +125,7 @@ def tag_union(left: DataFrame, right: DataFrame, tag: str = "side",
 
 
 def running_share(left: DataFrame, right: DataFrame, name: str = "share",
-                  order: Sequence[str] = ORDER, bucket: str = "1 day") -> DataFrame:
+                  order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
     """A10: after every row of either stream, ``left*100.0/(left+right)``
     over the rows seen so far (current row included).
 

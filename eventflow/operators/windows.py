@@ -74,7 +74,7 @@ def sliding_count(df: DataFrame, size: str, slide: str, predicate: Column | None
 # --- W7 -------------------------------------------------------------------------
 
 def session_count(df: DataFrame, gap: str, keys: Sequence[str] = (), predicate: Column | None = None,
-                  order: Sequence[str] = ("ts", "event_id"), bucket: str = "1 day",
+                  order: Sequence[str] = ("ts", "event_id"), bucket: str | None = None,
                   name: str = "n") -> DataFrame:
     """Session windows (rows no more than ``gap`` apart share a session).
 
@@ -112,7 +112,7 @@ def session_count_native(df: DataFrame, gap: str, keys: Sequence[str] = (),
 
 def count_windows(df: DataFrame, every: int, predicate: Column | None = None,
                   purge: bool = False, keys: Sequence[str] = (),
-                  order: Sequence[str] = ("ts", "event_id"), bucket: str = "1 day",
+                  order: Sequence[str] = ("ts", "event_id"), bucket: str | None = None,
                   name: str = "n") -> DataFrame:
     """A global window that fires every ``every`` rows.
 

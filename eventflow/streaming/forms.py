@@ -129,7 +129,7 @@ def _write_carry(spark: SparkSession, root: str, batch_id: int, values: dict) ->
     row.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def running_share_batch(events_batch: DataFrame, carry: dict, bucket: str = "1 day") -> tuple[DataFrame, DataFrame]:
+def running_share_batch(events_batch: DataFrame, carry: dict, bucket: str | None = None) -> tuple[DataFrame, DataFrame]:
     """One micro-batch of A10 given the counts carried from earlier batches."""
     from eventflow.sources.views import cart_events, catalog_events
     order = ("ts", "event_id")
@@ -147,7 +147,7 @@ def running_share_batch(events_batch: DataFrame, carry: dict, bucket: str = "1 d
 
 
 def count_windows_batch(events_batch: DataFrame, carry: dict, every: int,
-                        bucket: str = "1 day") -> tuple[DataFrame, DataFrame]:
+                        bucket: str | None = None) -> tuple[DataFrame, DataFrame]:
     """One micro-batch of W8 (accumulating) given (rows, hits) carried."""
     from eventflow.sources.views import server_events
     s = server_events(events_batch)
