@@ -179,13 +179,45 @@ def carried_batch_fn(step, names: list[str], **kw):
     return fn
 
 
-def changing_threshold_fn(rules_loader, default: int = 0):
-    """J6 stream: each micro-batch re-reads the rule table and applies the
-    batch as-of operator (a rule stream has no broadcast state in Spark)."""
+def changing_threshold_fn(rules_loader, default: int = 0, bucket: str | None = None, view=None):
+    """J6 stream (a rule stream has no broadcast state in Spark).
+
+    Each micro-batch reads only the rules that took effect since the previous
+    batch (``prev_max < effective_ts <= batch max``) and starts from the
+    threshold carried from the previous batch, so the rule table is never
+    re-read whole. Exact when micro-batches are time-ordered; an event older
+    than the previous batch sees the threshold in force at that batch's end.
+    """
+    from eventflow.sources.views import cart_events
+
+    view = view or cart_events
+    names = ["seen", "max_us", "threshold"]
+
     def fn(batch: DataFrame, batch_id: int, path: str) -> None:
-        from eventflow.sources.views import cart_events
-        rules = rules_loader(batch.sparkSession)
-        out = changing_threshold(cart_events(batch), rules, default=default, with_message=False)
-        (out.select("event_id", "user_id", "quantity", "threshold")
-            .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        spark = batch.sparkSession
+        carry_root = f"{path}__carry"
+        batch.persist()
+        try:
+            prev = _read_carry(spark, carry_root, batch_id, names)
+            cart = view(batch)
+            span = cart.agg(F.max(epoch_us("ts", cart)).alias("hi")).collect()[0]
+            if span["hi"] is None:
+                _write_carry(spark, carry_root, batch_id, prev)
+                return
+            hi = int(span["hi"])
+            rules = rules_loader(spark)
+            r_us = epoch_us("effective_ts", rules)
+            fresh = rules.filter(r_us <= F.lit(hi))
+            if prev["seen"]:
+                fresh = fresh.filter(r_us > F.lit(prev["max_us"]))
+            start = prev["threshold"] if prev["seen"] else default
+            out = changing_threshold(cart, fresh, default=start, with_message=False, bucket=bucket)
+            (out.select("event_id", "user_id", "quantity", "threshold")
+                .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+            last = (fresh.agg(F.max_by("value", F.struct(r_us, F.col("rule_id"))).alias("v"))
+                         .collect()[0]["v"])
+            _write_carry(spark, carry_root, batch_id,
+                         {"seen": 1, "max_us": hi, "threshold": start if last is None else int(last)})
+        finally:
+            batch.unpersist()
     return fn

@@ -153,3 +153,19 @@ def test_progress_callbacks(spark, tmp_dir):
         assert sum(r["rows"] or 0 for r in rec.rows if r["event"] == "checkpoint_completed") == 12
     finally:
         spark.streams.removeListener(rec)
+
+
+def test_changing_threshold_stream_over_micro_batches(spark, tmp_dir):
+    from eventflow.operators import joins
+    from eventflow.streaming.runner import run_foreach_batch
+    cart = FX.cart_mixed(spark)
+    src = f"{tmp_dir}/src"
+    _write_slices(cart, src, [FX.sec(FX.CART_BASE, 2), FX.sec(FX.CART_BASE, 4)])
+    rules = FX.rules(spark)
+    fn = forms.changing_threshold_fn(lambda sp: rules, default=0, bucket="2 seconds", view=lambda d: d)
+    path = run_foreach_batch(replay_dir(spark, src, cart.schema, max_files_per_trigger=1), "j6", fn,
+                             path=f"{tmp_dir}/out")
+    got = sorted((r["event_id"], r["threshold"]) for r in spark.read.parquet(path).collect())
+    want = sorted((r["event_id"], r["threshold"])
+                  for r in joins.changing_threshold(cart, rules, default=0, bucket="2 seconds").collect())
+    assert got == want == [(0, 0), (3, 4)]
