@@ -75,20 +75,25 @@ def running_list_size(df: DataFrame, key: str = "user_id", max_items: int | None
 
 
 def retained_count(df: DataFrame, key: str = "user_id", retention: str = "1 hour",
-                   name: str = "n", ts: str = "ts", tie: str = "event_id") -> DataFrame:
+                   name: str = "n", ts: str = "ts", tie: str = "event_id", parts: int = 1) -> DataFrame:
     """Events of the key still alive after the row, with time-to-live.
 
     An event added at t0 is alive at t while ``t - t0 < retention`` (an age
     equal to the retention is expired). Rows with the same ``ts`` count in
     arrival (``tie``) order.
 
-    Scale: rows are bucketed by ``retention``; every row is also copied into
-    the next bucket, so each ``(key, bucket)`` partition holds everything its
-    rows can see. A hot key is split by time; data is shuffled once (2x).
+    Scale: rows are bucketed by ``retention / parts``; every row is also
+    copied into the ``parts`` following buckets, so each ``(key, bucket)``
+    partition holds everything its own rows can see. A hot key is split by
+    time; ``parts > 1`` splits a hot key-period further at the price of
+    ``parts + 1`` copies in the one shuffle.
     """
+    if parts < 1:
+        raise ValueError("parts must be >= 1")
     r_us = interval_us(retention)
-    d = ordered.with_bucket(df, ts, r_us)
-    d = d.withColumn("__copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    width = max(1, -(-r_us // parts))
+    d = ordered.with_bucket(df, ts, width)
+    d = d.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(parts))))
     d = d.withColumn("__pb", F.col(ordered.BUCKET) + F.col("__copy"))
     w_range = (Window.partitionBy(key, "__pb").orderBy(ordered.US)
                .rangeBetween(-(r_us - 1), Window.currentRow))
