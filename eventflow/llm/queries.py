@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import pii, sentence_pieces, simhash
+from eventflow.llm import licenses, pii, sentence_pieces, sentence_spans, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_sentences", "n_sentences_removed",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     got = sentence_pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -32,8 +42,12 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_licenses": op4_licenses,
+    "op7_sentence_spans": op7_sentence_spans,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_pii": op9_pii,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_licenses": licenses.oracle_sql(),
+}
