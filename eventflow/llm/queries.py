@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import licenses, pii, sentence_pieces, sentence_spans, simhash, suffix_dedup
+from eventflow.llm import licenses, pii, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_sentences", "n_sentences_removed",
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_licenses": op4_licenses,
+    "op5_toxicity": op5_toxicity,
     "op7_sentence_spans": op7_sentence_spans,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_pii": op9_pii,
