@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import licenses, pii, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
+from eventflow.llm import decontaminate, licenses, pii, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "item_id", "n_tiles", "covered", "item_words", "coverage")
+
+
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_sentences", "n_sentences_removed",
@@ -54,6 +59,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_licenses": op4_licenses,
     "op5_toxicity": op5_toxicity,
+    "op6_decontaminate": op6_decontaminate,
     "op7_sentence_spans": op7_sentence_spans,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_pii": op9_pii,
