@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import decontaminate, licenses, pii, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
+from eventflow.llm import decontaminate, licenses, permutation_index, pii, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_simhash": op3_simhash,
@@ -63,6 +67,7 @@ QUERIES = {
     "op7_sentence_spans": op7_sentence_spans,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_pii": op9_pii,
+    "op10_permutation_index": op10_permutation_index,
 }
 
 ORACLE: dict[str, str] = {
