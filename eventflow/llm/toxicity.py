@@ -9,9 +9,12 @@ single text alone holds says nothing about itself). What the discount frees in
 the toxic class, which has far fewer texts, goes to the ordinary class's
 distribution, and what it frees there to lower orders that both classes share,
 estimated from continuation counts of all training texts: a rare expression
-has the same shared backoff on both sides. The log-likelihood ratio of a text,
-divided by its number of words, is mapped to a probability by a logistic curve
-fitted on the training texts.
+has the same shared backoff on both sides. A word's log-likelihood ratio is
+the sum over its five-grams; what the toxic likelihood has ahead of the
+ordinary one beyond MARGIN nats a word, summed over a text and divided by its
+number of words, is the text's rate. The margin keeps the noise of ordinary
+words out of long texts. The rate's square root is mapped to a probability by
+a logistic curve fitted on the training texts.
 
 Counts cover every labelled training row and grow with the input. The scores
 of five-grams and of contexts live in two tables with a fixed number of slots
@@ -20,8 +23,8 @@ share a slot share their mean ratio, weighted by counts.
 
 Training uses labelled rows whose crc32 of the id as text is not 1 modulo 3.
 Labels that are null, or given twice with different values, are not used. A
-null text is the empty text; texts without words get the score of ratio 0.
-With no labelled rows of a class every ratio is 0. Repeated rows give repeated
+null text is the empty text; texts without words have rate 0.
+With no labelled rows of a class every score is the same. Repeated rows give repeated
 scores. Whole texts are read.
 """
 
@@ -37,10 +40,11 @@ from pyspark.sql import functions as F
 from eventflow.llm.common import col, staged, steps, text_bytes, texts, with_fields
 
 SLOT_BITS, CONTEXT_BITS = 21, 19
-DISCOUNT, LOWER_DISCOUNT = 2.0, 0.75
+DISCOUNT, LOWER_DISCOUNT = 3.0, 0.75
+MARGIN = 2.0
 THRESHOLD = 0.7
-#: bins of the ratio's histogram that the logistic curve is fitted on
-BINS, SPAN = 1200, 6.0
+#: bins of the histogram of the rate's square root that the logistic curve is fitted on
+BINS, SPAN = 2000, 4.0
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
@@ -135,18 +139,20 @@ class Ratios:
         self.seen, self.context = seen, context
 
     def of_texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Sum of the ratios and number of words of each text."""
+        """Sum of what the words' ratios have beyond the margin, and number of words, of each text."""
         folded, starts = stream(*text_bytes(column))
         key, whole = grams(folded, starts)
         got = self.seen[slot(key, SLOT_BITS)]
         new = np.isnan(got)
         got[new] = self.context[slot(key[new] >> np.uint64(8), CONTEXT_BITS)]
         got[~whole] = 0
-        total = np.add.reduceat(got.astype(np.float64), starts[:-1]) if len(starts) > 1 else np.zeros(0)
-        # a leading space is no word of its own in an empty text
-        words = np.add.reduceat((folded == 32).astype(np.int64), starts[:-1])
-        words[np.diff(starts) == 1] = 0
-        return total, words
+        begin = folded == 32  # each word with the space that leads it
+        word = np.bincount(np.cumsum(begin) - 1, got, int(begin.sum()))
+        before = np.searchsorted(np.flatnonzero(begin), starts)
+        beyond = np.concatenate(([0.0], np.cumsum(np.maximum(word - MARGIN, 0))))
+        words = np.diff(before)
+        words[np.diff(starts) == 1] = 0  # the lone space of an empty text
+        return np.diff(beyond[before]), words
 
 
 def fit(train: DataFrame) -> Ratios:
@@ -195,7 +201,7 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]
     """Slope and intercept of a logistic curve through counted points, lightly held back."""
     scale = max(float(np.sqrt((n * x * x).sum() / n.sum())), 1e-6)
     a = np.stack([x / scale, np.ones_like(x)], 1)
-    w, hold = np.zeros(2), np.array([1e-3, 1e-6]) * n.sum()
+    w, hold = np.zeros(2), np.array([1e-6, 1e-8]) * n.sum()
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         g = a.T @ (n * (p - y)) + hold * w
@@ -219,24 +225,27 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spread = df.sparkSession.sparkContext.broadcast((ratios.seen, ratios.context))
     src = texts(df, id_col, text_col, carry)
     at = src.columns.index(text_col)
-    out = with_fields(src, "ratio double", () if keep_text else (text_col,))
+    out = with_fields(src, "rate double", () if keep_text else (text_col,))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Ratios(*spread.value)
         for b in steps(batches, at):
             total, words = own.of_texts(b.column(at))
             kept = [b.column(i) for i in range(b.num_columns) if keep_text or i != at]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(total / np.maximum(words, 1))], names=out.names)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.maximum(total, 0) / np.maximum(words, 1))], names=out.names)
 
     rated = src.mapInArrow(run, out)
-    if not keep_text:
-        rated = staged(rated, "toxicity-ratios")
-    known = rated.select(col(rated, id_col).alias("id"), "ratio").where(~is_held_out(F.col("id"))).join(learn, F.col("id") == F.col("of"))
-    place = F.floor(F.least(F.greatest("ratio", F.lit(-SPAN)), F.lit(SPAN)) * (BINS / (2 * SPAN)))
+    if keep_text:  # the training rows are rated twice, so that no text is staged
+        known = src.where(~is_held_out(col(src, id_col))).mapInArrow(run, out)
+    else:
+        known = rated = staged(rated, "toxicity-rates")
+    known = known.select(col(known, id_col).alias("id"), "rate").where(~is_held_out(F.col("id"))).join(learn, F.col("id") == F.col("of"))
+    root = F.sqrt("rate")
+    place = F.floor(F.least(root, F.lit(SPAN)) * (BINS / SPAN))
     points = known.groupBy(place.alias("place"), "toxic").agg(F.count("*").alias("n")).toPandas()
     slope, intercept = (0.0, -3.0) if points["toxic"].nunique() < 2 else logistic(
-        (points["place"].to_numpy(float) + 0.5) * (2 * SPAN / BINS), points["toxic"].to_numpy(float), points["n"].to_numpy(float))
-    chance = 1 / (1 + F.exp(-(F.col("ratio") * slope + intercept)))
-    kept = [c for c in rated.columns if c != "ratio"]
+        (points["place"].to_numpy(float) + 0.5) * (SPAN / BINS), points["toxic"].to_numpy(float), points["n"].to_numpy(float))
+    chance = 1 / (1 + F.exp(-(root * slope + intercept)))
+    kept = [c for c in rated.columns if c != "rate"]
     return rated.select(*[col(rated, c) for c in kept], F.coalesce(is_held_out(col(rated, id_col)), F.lit(False)).alias("held_out"),
                         chance.alias("score"), (chance >= THRESHOLD).cast("int").alias("predicted"))
