@@ -78,51 +78,58 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     """Pairs (u, v), u < v, of distinct fingerprints ``fp`` that differ in at most ``max_bits`` (4 at most) bits."""
     if not 0 <= max_bits <= GROUPS - EQUAL:
         raise ValueError(f"the grid holds for 0 to {GROUPS - EQUAL} bits")
-    fp = F.col("fp")
-    pairs = F.lit(0x5555555555555555)
-    nibbles = F.lit(0x3333333333333333)
-    # 32 two-bit counts: the embedding; then 16 counts of four bits and 8 of eight, packed
-    low, high = fp.bitwiseAND(pairs), F.shiftrightunsigned(fp, 1).bitwiseAND(pairs)
-    embedded = low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
-    fours = embedded.bitwiseAND(nibbles) + F.shiftrightunsigned(embedded, 2).bitwiseAND(nibbles)
-    eights = (fours + F.shiftrightunsigned(fours, 4)).bitwiseAND(F.lit(0x0F0F0F0F0F0F0F0F))
-    cells = []
+    cells, skips = [], []
     for chosen in combinations(range(GROUPS), EQUAL):
         mask = sum(0xFF << 8 * g for g in chosen)
+        cells.append(mask - (1 << 64) if mask >> 63 else mask)
         # groups before the last chosen one: equal there, an earlier cell has the pair already
-        skipped = sum(1 << g for g in range(chosen[-1]) if g not in chosen)
-        cells.append((mask - (1 << 64) if mask >> 63 else mask, skipped))
-    grid = F.explode(F.array(*[
-        F.struct(F.xxhash64(F.lit(k), F.col("e").bitwiseAND(F.lit(mask))).alias("cell"), F.lit(skipped).cast("short").alias("skipped"))
-        for k, (mask, skipped) in enumerate(cells)]))
-    placed = (distinct.select("fp", embedded.alias("e"), eights.alias("s"))
-              .select("fp", "e", "s", grid.alias("c")).select("fp", "e", "s", "c.cell", "c.skipped"))
-    a, b = placed.alias("a"), placed.select("fp", "e", "s", "cell").alias("b")
-    manhattan = sum(F.abs(F.shiftrightunsigned(F.col("a.s"), 8 * g).bitwiseAND(F.lit(15))
-                          - F.shiftrightunsigned(F.col("b.s"), 8 * g).bitwiseAND(F.lit(15))) for g in range(GROUPS))
-    differ = F.col("a.e").bitwiseXOR(F.col("b.e"))
+        skips.append(sum(1 << g for g in range(chosen[-1]) if g not in chosen))
+    # a cell's number: the choice in the low seven bits, the coordinates' hash above
+    grid = F.explode(F.array(*[F.shiftleft(F.xxhash64(F.col("e").bitwiseAND(F.lit(mask))), 7).bitwiseOR(F.lit(k).cast("long"))
+                               for k, mask in enumerate(cells)]))
+    # only (cell, fp) is shuffled, the same for both sides; the rest is made anew from fp
+    placed = distinct.select("fp", embedded(F.col("fp")).alias("e")).select("fp", grid.alias("cell"))
+    a, b = placed.alias("a"), placed.alias("b")
+    u, v = F.col("a.fp"), F.col("b.fp")
+    s, t = coarse(embedded(u)), coarse(embedded(v))
+    manhattan = sum(F.abs(F.shiftrightunsigned(s, 8 * g).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(t, 8 * g).bitwiseAND(F.lit(15)))
+                    for g in range(GROUPS))
+    differ = embedded(u).bitwiseXOR(embedded(v))
+    skipped = F.get(F.array(*[F.lit(x) for x in skips]), F.col("a.cell").bitwiseAND(F.lit(127)).cast("int"))
     first = F.lit(True)
     for g in range(GROUPS - 1):
-        first = first & ((F.col("a.skipped").bitwiseAND(F.lit(1 << g)) == 0)
-                         | (differ.bitwiseAND(F.lit(0xFF << 8 * g)) != 0))
-    return (a.join(b, (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp"))
-                   & (manhattan <= max_bits)
-                   & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits) & first)
-            .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
+        first = first & ((skipped.bitwiseAND(F.lit(1 << g)) == 0) | (differ.bitwiseAND(F.lit(0xFF << 8 * g)) != 0))
+    return (a.join(b, (F.col("a.cell") == F.col("b.cell")) & (u < v) & (manhattan <= max_bits)
+                   & (F.bit_count(u.bitwiseXOR(v)) <= max_bits) & first)
+            .select(u.alias("u"), v.alias("v")))
+
+
+def embedded(fp):
+    """32 counts of two bits, packed: the set bits of each two-bit segment."""
+    pairs = F.lit(0x5555555555555555)
+    low, high = fp.bitwiseAND(pairs), F.shiftrightunsigned(fp, 1).bitwiseAND(pairs)
+    return low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
+
+
+def coarse(e):
+    """The counts of an embedding summed over its eight axis groups, packed in bytes."""
+    nibbles = F.lit(0x3333333333333333)
+    fours = e.bitwiseAND(nibbles) + F.shiftrightunsigned(e, 2).bitwiseAND(nibbles)
+    return (fours + F.shiftrightunsigned(fours, 4)).bitwiseAND(F.lit(0x0F0F0F0F0F0F0F0F))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4,
                     carry: list[str] | None = None, keep_text: bool = False) -> DataFrame:
-    """Per row: id, (text,) carry, ``fp`` and ``component_id``."""
+    """Per row: id, (text,) carry, ``fp``, ``component_id`` and ``component_fp`` (the component's smallest fingerprint)."""
     marked = staged(fingerprints(df, id_col, text_col, shingle, carry, keep_text), "simhash-fingerprints")
     distinct = marked.groupBy("fp").agg(F.min(col(marked, id_col)).alias("rep"))
     member = components(links(distinct, max_bits))  # (node, root), only fingerprints with links
     of = distinct.join(member, distinct["fp"] == member["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = of.join(least, "root").select(F.col("fp").alias("named_fp"), "component_id")
+    named = of.join(least, "root").select(F.col("fp").alias("named_fp"), "component_id", F.col("root").alias("component_fp"))
     return marked.join(named, marked["fp"] == named["named_fp"]).select(
-        *[col(marked, c) for c in marked.columns], "component_id")
+        *[col(marked, c) for c in marked.columns], "component_id", "component_fp")
 
 
 def hex_digits(fp):
