@@ -27,9 +27,9 @@ def warn_message(user: str, quantity: str, sku: str, threshold: Column | str) ->
     """Text of a purchase warning built from row fields."""
     th = F.col(threshold) if isinstance(threshold, str) else threshold
     return F.format_string(
-        "User %s attempting to purchase %s items of %s when threshold is %s",
-        F.col(user).cast("string"), F.col(quantity).cast("string"),
-        F.col(sku).cast("string"), th.cast("string"))
+        "large order: %s of %s by user %s (limit %s)",
+        F.col(quantity).cast("string"), F.col(sku).cast("string"),
+        F.col(user).cast("string"), th.cast("string"))
 
 
 def share_percent(part: Column, other: Column) -> Column:

@@ -56,6 +56,11 @@ def _position(df: DataFrame, col: str) -> Column:
     raise TypeError(f"order column {col!r} must be a timestamp or a number, not {dt}")
 
 
+def epoch_position(df: DataFrame, col: str) -> Column:
+    """The order position of a timestamp (epoch micros) or number column."""
+    return _position(df, col)
+
+
 def with_bucket(df: DataFrame, ts: str, bucket: str | int) -> DataFrame:
     """Add ``__us`` (epoch micros of ``ts``, or a numeric position) and
     ``__b`` (floor(us / width))."""

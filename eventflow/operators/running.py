@@ -75,35 +75,26 @@ def running_list_size(df: DataFrame, key: str = "user_id", max_items: int | None
 
 
 def retained_count(df: DataFrame, key: str = "user_id", retention: str = "1 hour",
-                   name: str = "n", ts: str = "ts", tie: str = "event_id", parts: int = 1) -> DataFrame:
+                   name: str = "n", ts: str = "ts", tie: str = "event_id",
+                   bucket: str | int | None = None) -> DataFrame:
     """Events of the key still alive after the row, with time-to-live.
 
     An event added at t0 is alive at t while ``t - t0 < retention`` (an age
     equal to the retention is expired). Rows with the same ``ts`` count in
     arrival (``tie``) order.
 
-    Scale: rows are bucketed by ``retention / parts``; every row is also
-    copied into the ``parts`` following buckets, so each ``(key, bucket)``
-    partition holds everything its own rows can see. A hot key is split by
-    time; ``parts > 1`` splits a hot key-period further at the price of
-    ``parts + 1`` copies in the one shuffle.
+    Linear: every row adds 1 at its time and its expiry mark takes 1 away at
+    ``ts + retention``, ahead of the rows of that instant; the running sum is
+    the count. Rows and marks go through the bucketed running sum, so a hot
+    key is split by time (``bucket`` sets the width).
     """
-    if parts < 1:
-        raise ValueError("parts must be >= 1")
-    r_us = interval_us(retention)
-    width = max(1, -(-r_us // parts))
-    d = ordered.with_bucket(df, ts, width)
-    d = d.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(parts))))
-    d = d.withColumn("__pb", F.col(ordered.BUCKET) + F.col("__copy"))
-    w_range = (Window.partitionBy(key, "__pb").orderBy(ordered.US)
-               .rangeBetween(-(r_us - 1), Window.currentRow))
-    w_same = Window.partitionBy(key, "__pb", ordered.US)
-    w_same_ord = w_same.orderBy(tie)
-    d = d.withColumn("__in_range", F.count(F.lit(1)).over(w_range))
-    d = d.withColumn("__later_ties", F.count(F.lit(1)).over(w_same) - F.row_number().over(w_same_ord))
-    d = d.filter(F.col("__copy") == 0)
-    return (d.withColumn(name, F.col("__in_range") - F.col("__later_ties"))
-             .drop("__copy", "__pb", "__in_range", "__later_ties", ordered.US, ordered.BUCKET))
+    at = ordered.epoch_position(df, ts)
+    mark = F.explode(F.array(F.struct(at.alias("at"), F.lit(1).alias("m")),
+                             F.struct((at + F.lit(interval_us(retention))).alias("at"), F.lit(-1).alias("m"))))
+    both = df.withColumn("__e", mark).select(*df.columns, F.col("__e.at").alias("__at"), F.col("__e.m").alias("__m"))
+    width = interval_us(ordered.auto_bucket([key], bucket))
+    r = ordered.running_sums(both, {name: F.col("__m").cast("long")}, ("__at", "__m", tie), [key], width)
+    return r.filter(F.col("__m") == 1).drop("__at", "__m")
 
 
 def count_with_reset(df: DataFrame, key: str = "user_id", limit: int = 10, name: str = "n",

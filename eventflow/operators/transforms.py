@@ -92,10 +92,7 @@ def server_entity_ids(server: DataFrame, name: str = "entity_id") -> DataFrame:
     """P10: ids derived from fields: ``player|id|nickname`` for player events
     with a nickname, ``player|id`` for those without, ``game|id`` for games."""
     cols = server.columns
-    if "game_id" in cols:
-        gid = entity_id("game", "game_id")
-    else:
-        gid = None
+    gid = F.when(F.col("game_id").isNotNull(), entity_id("game", "game_id")) if "game_id" in cols else None
     pid = F.when(F.col("nickname").isNotNull(), entity_id("player", "player_id", "nickname")) \
            .otherwise(entity_id("player", "player_id"))
     expr = pid if gid is None else F.coalesce(gid, pid)

@@ -295,8 +295,8 @@ def entity_ids(spark, sf):
 
 
 @query("warn_messages", f"""SELECT event_id,
-  'User ' || CAST(user_id AS VARCHAR) || ' attempting to purchase ' || CAST(quantity AS VARCHAR)
-  || ' items of ' || sku || ' when threshold is 2' AS message
+  'large order: ' || CAST(quantity AS VARCHAR) || ' of ' || sku || ' by user '
+  || CAST(user_id AS VARCHAR) || ' (limit 2)' AS message
 FROM {CART} WHERE {ADD_SQL} AND quantity > 2""")
 def warn_messages(spark, sf):
     """Text message built from row fields (J5 warnings)."""
@@ -395,10 +395,7 @@ def connected(spark, sf):
 FROM {CART} GROUP BY 1""")
 def side_output(spark, sf):
     """One user's events to a side output, the rest to main; rows per route."""
-    main, side = routing.split(_cart(spark, sf), F.col("user_id") == 1)
-    return (main.select(F.lit("main").alias("route"))
-                .unionByName(side.select(F.lit("side").alias("route")))
-                .groupBy("route").agg(F.count(F.lit(1)).alias("n")))
+    return routing.route(_cart(spark, sf), F.col("user_id") == 1).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("hash_partition_colocation", f"SELECT user_id, CAST(1 AS BIGINT) AS n_partitions FROM {CART} GROUP BY user_id")

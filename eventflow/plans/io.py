@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from eventflow.plans.registry import query
 from eventflow.plans.sqlviews import CART
 from eventflow.session import scratch_path
-from eventflow.sinks import custom, upsert
+from eventflow.sinks import upsert
 from eventflow.sinks.files import to_text_stream, write_text
-from eventflow.sources import line_files
 from eventflow.sources.tables import read_table
 from eventflow.sources.views import cart_events
 from eventflow.streaming.replay import line_text_stream, replay
-from eventflow.streaming.runner import run_available_now
+from eventflow.streaming.runner import run_available_now, run_foreach_batch
 
 LINES_SQL = f"""SELECT CAST(event_id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR) || ',' || sku AS value
 FROM {CART}"""
@@ -34,31 +33,30 @@ def text_sink_roundtrip(spark, sf):
     return spark.read.text(path)
 
 
-@query("custom_sink_roundtrip", LINES_SQL)
-def custom_sink_roundtrip(spark, sf):
-    """K7: lines through the custom ``append_lines`` stream sink, read back."""
-    custom.register(spark)
-    path = scratch_path(spark, "custom_sink")
-    q = (_lines(cart_events(replay(spark, sf))).writeStream.format("append_lines")
-         .option("path", path).option("checkpointLocation", path + "__checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.text(path)
-
-
 def _write_line_files(spark, sf, name):
     src = scratch_path(spark, name)
     write_text(_lines(cart_events(read_table(spark, sf, "events"))), src)
     return src
 
 
+@query("custom_sink_roundtrip", LINES_SQL)
+def custom_sink_roundtrip(spark, sf):
+    """K7: a user-defined sink: a function of (micro-batch, id) that writes the
+    batch idempotently under its id, read back."""
+    def sink(batch, batch_id, path):
+        batch.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+    path = run_foreach_batch(_lines(cart_events(replay(spark, sf))), "custom_sink", sink)
+    return spark.read.text(path).select("value")
+
+
 @query("line_source", LINES_SQL)
 def line_source(spark, sf):
-    """Line files read back through the custom ``line_files`` stream source."""
-    line_files.register(spark)
+    """A user's line source: the text stream with the user's own decoding
+    of each line (here: fields split off and joined again)."""
     src = _write_line_files(spark, sf, "line_source_src")
-    s = spark.readStream.format("line_files").option("path", src).option("suffix", ".txt").load()
-    return run_available_now(s, "line_source")
+    fields = F.split("value", ",")
+    lines = line_text_stream(spark, src).select(fields[0].cast("long").alias("event_id"), fields[1].alias("user_id"), fields[2].alias("sku"))
+    return run_available_now(lines, "line_source").select(F.concat_ws(",", "event_id", "user_id", "sku").alias("value"))
 
 
 @query("line_text_source", LINES_SQL)
@@ -79,7 +77,8 @@ def upsert_latest(spark, sf):
     ev = read_table(spark, sf, "events")
     people = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name"),
                        F.get_json_object("props", "$.k").cast("int").alias("age"), "ts", "event_id")
-    mid = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    span = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    mid = F.lit(span["lo"] + (span["hi"] - span["lo"]) / 2) if span["lo"] else F.lit(None).cast("timestamp_ntz")
     path = scratch_path(spark, "upsert_people")
     upsert.upsert_latest(spark, path, people.filter(F.col("ts") < mid), ["name"], ["ts", "event_id"])
     upsert.upsert_latest(spark, path, people.filter(F.col("ts") >= mid), ["name"], ["ts", "event_id"])

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventflow import schemas as S
-from eventflow.functions.time import epoch_us
+from eventflow.functions.time import epoch_us, to_ntz
+from eventflow.operators.windows import session_count_native, with_event_time
 from eventflow.plans.registry import ORACLE, query
-from eventflow.plans.sqlviews import HOUR, SERVER, ts_of, wstart
+from eventflow.plans.sqlviews import CART, HOUR, SERVER, ts_of, wstart
 from eventflow.session import scratch_path
 from eventflow.sources.tables import read_table
 from eventflow.sources.views import cart_events, catalog_events, rules_from_events, server_events
@@ -78,16 +79,68 @@ def stream_count_windows(spark, sf):
 
 @query("stream_early_count", ORACLE["early_count"])
 def stream_early_count(spark, sf):
-    """W10 T form: count trigger per 1-hour window, timers clear state."""
-    s = forms.stream_early_count(cart_events(_stream(spark, sf)), "1 hour", 5)
-    return forms.early_count_output(run_available_now(s, "stream_early_count"))
+    """W10 T form: count trigger per 1-hour window, counts of open windows carried."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_early_count", forms.early_count_fn("1 hour", 5))
+    return forms.early_count_output(_read_batches(spark, path))
 
 
 @query("stream_early_count_purging", ORACLE["early_count_purging"])
 def stream_early_count_purging(spark, sf):
     """W11 T form."""
-    s = forms.stream_early_count(cart_events(_stream(spark, sf)), "1 hour", 5, purge=True)
-    return forms.early_count_output(run_available_now(s, "stream_early_count_purging"))
+    path = run_foreach_batch(_stream(spark, sf), "stream_early_count_purging", forms.early_count_fn("1 hour", 5, purge=True))
+    return forms.early_count_output(_read_batches(spark, path))
+
+
+@query("stream_rolling_sum", ORACLE["rolling_sum"])
+def stream_rolling_sum(spark, sf):
+    """A1 T form: running sum of quantity per user, value state."""
+    s = forms.stream_rolling_sum(cart_events(_stream(spark, sf)), "quantity")
+    return run_available_now(s, "stream_rolling_sum").select("event_id", "user_id", "running")
+
+
+@query("stream_final_sum", ORACLE["final_sum"])
+def stream_final_sum(spark, sf):
+    """A2 T form: update mode; each key's newest micro-batch holds its total."""
+    def fn(batch, batch_id, path):
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    s = forms.stream_final_sum(cart_events(_stream(spark, sf)), "quantity")
+    path = run_foreach_batch(s, "stream_final_sum", fn, output_mode="update")
+    return spark.read.parquet(path).groupBy("user_id").agg(F.max_by("total", "batch_id").alias("total"))
+
+
+@query("stream_side_output", ORACLE["side_output"])
+def stream_side_output(spark, sf):
+    """R5 T form: main and side output of every micro-batch written in one pass."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_side_output", forms.side_output_fn(F.col("user_id") == 1, cart_events))
+    return spark.read.parquet(path).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_window_join", ORACLE["window_join"])
+def stream_window_join(spark, sf):
+    """J2 T form: stream-stream join on user and 6-hour window."""
+    left = (cart_events(_stream(spark, sf)).filter(F.col("event_type") == S.ADD)
+            .select(F.col("event_id").alias("left_id"), "user_id", "ts"))
+    right = (catalog_events(_stream(spark, sf))
+             .select(F.col("event_id").alias("right_id"), F.col("user_id").alias("r_user_id"), "ts"))
+    return run_available_now(forms.stream_window_join(left, right, "6 hours"), "stream_window_join")
+
+
+@query("stream_session_by_user", f"""SELECT * FROM ({ORACLE["session_by_user"]})
+WHERE epoch_us(window_end) <= (SELECT max(epoch_us(ts)) FROM {SERVER}) - 500000""")
+def stream_session_by_user(spark, sf):
+    """W7 T form: keyed session windows, emitted when the watermark passes their end."""
+    s = with_event_time(server_events(_stream(spark, sf)), "ts", "500 milliseconds")
+    g = session_count_native(s, "6 hours", keys=["player_id"], ts="event_time")
+    g = g.select("player_id", to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"), "n")
+    return run_available_now(g, "stream_session_by_user")
+
+
+@query("stream_count_windows_purging", ORACLE["global_count_windows_purging"])
+def stream_count_windows_purging(spark, sf):
+    """W8 T form, purging: registrations in each block of 10 events."""
+    fn = forms.carried_batch_fn(forms.purged_windows_batch, ["rows", "open_hits"], every=10)
+    path = run_foreach_batch(_stream(spark, sf), "stream_count_windows_purging", fn)
+    return _read_batches(spark, path).select("firing_no", "n")
 
 
 @query("stream_interval_join", ORACLE["interval_join"])
@@ -104,7 +157,7 @@ def stream_interval_join(spark, sf):
 
 @query("stream_changing_threshold", ORACLE["changing_threshold"])
 def stream_changing_threshold(spark, sf):
-    """J6 T form: foreachBatch re-reads the rule table each micro-batch."""
+    """J6 T form: each micro-batch reads the rules of its own time span."""
     fn = forms.changing_threshold_fn(lambda sp: rules_from_events(read_table(sp, sf, "events")))
     path = run_foreach_batch(_stream(spark, sf), "stream_changing_threshold", fn)
     return _read_batches(spark, path)
@@ -141,18 +194,19 @@ def stream_restart(spark, sf):
     return res.select("event_id", "user_id", "n")
 
 
-@query("stream_arrival_window")
+@query("stream_arrival_window", f"SELECT count(*) AS n FROM {CART}")
 def stream_arrival_window(spark, sf):
-    """Processing-time (arrival) tumbling window, update mode; one
-    arrival time per micro-batch, so the result is not deterministic."""
+    """Processing-time (arrival) tumbling windows, update mode. Which
+    window a row falls in depends on the clock; that every row is counted in
+    one does not, so the newest counts of all windows are summed."""
     s = cart_events(_stream(spark, sf)).withColumn("arrival_ts", F.current_timestamp())
     g = (s.withWatermark("arrival_ts", "1 minute")
           .groupBy(F.window("arrival_ts", "1 hour").alias("w"))
           .agg(F.count(F.lit(1)).alias("n")))
-    g = g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
+    g = g.select(F.col("w.start").alias("window_start"), "n")
 
     def fn(batch, batch_id, path):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
     path = run_foreach_batch(g, "stream_arrival_window", fn, output_mode="update")
-    return _read_batches(spark, path)
+    newest = spark.read.parquet(path).groupBy("window_start").agg(F.max_by("n", "batch_id").alias("n"))
+    return newest.agg(F.sum("n").alias("n"))

@@ -47,13 +47,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir); create a private one only where none is configured.
+    checkpoint dir). Only a local master may go without: there a private
+    folder is made. On a cluster executors would not see such a folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="eventflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

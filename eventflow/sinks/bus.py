@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def encode_person(df: DataFrame, topic: str, name: str = "name", age: str = "age") -> DataFrame:
-    """Rows -> the connector's write shape: null key, UTF-8 ``name,age`` value."""
+    """Rows -> the connector's write shape: null key, UTF-8 ``name,age`` value.
+    Both fields are always written; a null one is empty."""
     return df.select(
         F.lit(None).cast("binary").alias("key"),
-        F.concat_ws(",", F.col(name), F.col(age).cast("string")).cast("binary").alias("value"),
+        F.concat_ws(",", F.coalesce(F.col(name), F.lit("")), F.coalesce(F.col(age).cast("string"), F.lit(""))).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
     )
 

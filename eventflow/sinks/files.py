@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def to_console(df: DataFrame, n: int = 20, truncate: bool = False, checkpoint: str | None = None):
-    """K1: print rows (batch: ``show``; stream: console sink)."""
+def to_console(df: DataFrame, n: int | None = None, truncate: bool = False, checkpoint: str | None = None):
+    """K1: print rows (stream: console sink; batch: every row, one partition
+    at a time, or with ``n`` a table of the first ``n``)."""
     if df.isStreaming:
         w = df.writeStream.format("console").option("truncate", str(truncate).lower())
         if checkpoint:
             w = w.option("checkpointLocation", checkpoint)
         return w.start()
-    df.show(n, truncate=truncate)
+    if n is not None:
+        df.show(n, truncate=truncate)
+        return None
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
     return None
 
 
@@ -33,6 +39,7 @@ def to_text_stream(df: DataFrame, path: str, checkpoint: str, available_now: boo
     return w.start()
 
 
-def fetch_small(df: DataFrame, limit: int = 1000) -> list:
-    """K8: bring a small, already reduced result to the caller (after a limit)."""
-    return df.limit(limit).collect()
+def fetch_small(df: DataFrame) -> list:
+    """K8: bring a small, already reduced result to the caller, whole, one
+    partition at a time. A caller that wants fewer rows limits the frame."""
+    return list(df.toLocalIterator())

@@ -1,9 +1,9 @@
 """K5: database sink, one INSERT per row, per micro-batch.
 
-Uses Spark's JDBC writer inside ``foreachBatch``. INSERT is not idempotent:
-with ``batch_column`` set, every row carries the micro-batch id, and rows of
-a batch id already present are deleted downstream / filtered on read, which
-makes a replayed batch detectable. Credentials come only from arguments.
+Uses Spark's JDBC writer inside ``foreachBatch``. INSERT is not idempotent and
+nothing is deleted: a micro-batch replayed after a failure is inserted again.
+With ``batch_column`` set, every row carries the micro-batch id, so a reader
+can tell replayed rows apart. Credentials come only from arguments.
 """
 
 from __future__ import annotations

@@ -15,11 +15,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from eventflow import schemas as S
 from eventflow.functions.expressions import share_percent
-from eventflow.functions.time import epoch_us, from_epoch_us, interval_us, to_ntz
+from eventflow.functions.time import epoch_us, from_epoch_us, interval_us, time_literal, to_ntz
 from eventflow.operators import ordered
 from eventflow.operators.joins import changing_threshold
+from eventflow.operators.routing import route
 from eventflow.operators.windows import with_event_time
-from eventflow.streaming.processors import EarlyCount, ListSize, RunningCount, TypeCounts
+from eventflow.streaming.processors import ListSize, RunningCount, TypeCounts
 from eventflow.streaming.runner import _has_files
 
 
@@ -37,13 +38,14 @@ def stream_running_count(stream: DataFrame, key: str = "user_id", name: str = "n
 
 
 def stream_list_size(stream: DataFrame, key: str = "user_id", name: str = "n",
-                     ttl: str | None = None) -> DataFrame:
-    """A6 (A7 with ``ttl``, processing time) as a list-state program."""
+                     ttl: str | None = None, max_items: int | None = None) -> DataFrame:
+    """A6 (A7 with ``ttl``, processing time) as a list-state program. With
+    ``max_items`` the list keeps the newest ``max_items`` events."""
     d = stream.select("event_id", "ts", key)
     ttl_ms = interval_us(ttl) // 1000 if ttl else None
     mode = "ProcessingTime" if ttl else "None"
     return d.groupBy(key).transformWithStateInPandas(
-        ListSize(key, name, ttl_ms), _out_schema(d, key, name), "Append", mode)
+        ListSize(key, name, ttl_ms, max_items), _out_schema(d, key, name), "Append", mode)
 
 
 def stream_type_counts(stream: DataFrame, key: str = "user_id",
@@ -60,20 +62,63 @@ def stream_high_quantity(cart_stream: DataFrame, threshold: int = 5, key: str =
     return stream_running_count(q, key)
 
 
-def stream_early_count(stream: DataFrame, size: str, every: int, purge: bool = False,
-                       delay: str = "1 minute") -> DataFrame:
-    """Count trigger per window, state cleared by an event-time
-    timer at the window end."""
-    size_us = interval_us(size)
-    d = with_event_time(stream.select("event_id", "ts"), "ts", delay)
-    us = F.unix_micros("event_time")
-    d = (d.withColumn("window_start_us", us - F.pmod(us, F.lit(size_us)))
-          .withColumn("window_end_us", F.col("window_start_us") + F.lit(size_us))
-          .withColumn("window_end_ms", (F.col("window_end_us") / 1000).cast("long")))
-    schema = StructType([StructField(n, LongType()) for n in
-                         ("window_start_us", "window_end_us", "firing_no", "n")])
-    return d.groupBy("window_start_us").transformWithStateInPandas(
-        EarlyCount(every, purge), schema, "Append", "EventTime")
+def early_count_fn(size: str, every: int, purge: bool = False, delay: str = "1 minute", view=None):
+    """A count trigger per tumbling window, as a carried batch.
+
+    A firing depends on a window's row count alone, so each micro-batch is a
+    partial aggregate per window joined with the counts of the windows still
+    open; no window is one task's group. A window closes once the watermark
+    (largest event time of the batches before, less ``delay``) reaches its
+    end; rows of closed windows are late and dropped, rows older than the
+    watermark whose window is open count. The counts of open windows are
+    written per batch id, and only the previous batch's are read.
+    """
+    from eventflow.sources.views import cart_events
+    view = view or cart_events
+    size_us, delay_us = interval_us(size), interval_us(delay)
+
+    def fn(batch: DataFrame, batch_id: int, path: str) -> None:
+        spark = batch.sparkSession
+        root = f"{path}__carry"
+        rows = view(batch)
+        us = epoch_us("ts", rows)
+        counts = (rows.select((us - F.pmod(us, F.lit(size_us))).alias("ws"), us.alias("us"))
+                  .groupBy("ws").agg(F.count(F.lit(1)).alias("c"), F.max("us").alias("top")))
+        before = _read_state(spark, root, batch_id, _EARLY_STATE)
+        mark = before.agg(F.max("top").alias("top")).first()["top"]
+        closed = None if mark is None else mark - delay_us
+        if closed is not None:
+            counts = counts.filter(F.col("ws") + F.lit(size_us) > F.lit(closed))
+        old = before.filter("ws IS NOT NULL").select(F.col("ws").alias("ws0"), F.col("n").alias("n0"))
+        joined = counts.join(old, F.col("ws") == F.col("ws0"), "full_outer").select(
+            F.coalesce("ws", "ws0").alias("ws"), F.coalesce("n0", F.lit(0)).alias("n0"),
+            (F.coalesce("n0", F.lit(0)) + F.coalesce("c", F.lit(0))).alias("n"), "top")
+        fired = F.sequence(F.floor(F.col("n0") / every) + 1, F.floor(F.col("n") / every))
+        out = (joined.filter(F.floor(F.col("n") / every) > F.floor(F.col("n0") / every))
+               .select(F.col("ws").alias("window_start_us"), (F.col("ws") + F.lit(size_us)).alias("window_end_us"),
+                       F.explode(fired).alias("firing_no"))
+               .withColumn("n", F.lit(every).cast("long") if purge else F.col("firing_no") * F.lit(every)))
+        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        top = joined.agg(F.max("top").alias("top")).first()["top"]
+        top = max([x for x in (top, mark) if x is not None], default=None)
+        # a row without a window carries the largest event time
+        keep = joined.filter(F.col("ws") + F.lit(size_us) > F.lit(-2 ** 62 if top is None else top - delay_us)).select("ws", "n")
+        state = keep.withColumn("top", F.lit(None).cast("long")).unionByName(
+            spark.createDataFrame([(None, None, top)], _EARLY_STATE))
+        state.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    return fn
+
+
+_EARLY_STATE = "ws long, n long, top long"
+
+
+def _read_state(spark: SparkSession, root: str, batch_id: int, schema: str) -> DataFrame:
+    """What the previous micro-batch wrote; empty before the first."""
+    at = f"{root}/batch_id={batch_id - 1}"
+    if batch_id == 0 or not _has_files(spark, at):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(at)
 
 
 def early_count_output(df: DataFrame) -> DataFrame:
@@ -115,12 +160,12 @@ def stream_interval_join(left: DataFrame, right: DataFrame, lower: str, upper: s
 # ---------------------------------------------------------------- carried state
 
 def _read_carry(spark: SparkSession, root: str, batch_id: int, names: list[str]) -> dict:
-    zero = {n: 0 for n in names}
-    if not _has_files(spark, root):
-        return zero
-    prev = (spark.read.parquet(root).filter(F.col("batch_id") < batch_id)
-                 .orderBy(F.col("batch_id").desc()).limit(1).collect())
-    return {n: int(prev[0][n]) for n in names} if prev else zero
+    """The counters the previous micro-batch wrote; zeros before the first."""
+    at = f"{root}/batch_id={batch_id - 1}"
+    if batch_id == 0 or not _has_files(spark, at):
+        return {n: 0 for n in names}
+    row = spark.read.parquet(at).first()
+    return {n: int(row[n]) for n in names}
 
 
 def _write_carry(spark: SparkSession, root: str, batch_id: int, values: dict) -> None:
@@ -179,45 +224,101 @@ def carried_batch_fn(step, names: list[str], **kw):
     return fn
 
 
-def changing_threshold_fn(rules_loader, default: int = 0, bucket: str | None = None, view=None):
+def changing_threshold_fn(rules_loader, default: int = 0, bucket: str | None = None, view=None, lookback: str = "1 day"):
     """J6 stream (a rule stream has no broadcast state in Spark).
 
-    Each micro-batch reads only the rules that took effect since the previous
-    batch (``prev_max < effective_ts <= batch max``) and starts from the
-    threshold carried from the previous batch, so the rule table is never
-    re-read whole. Exact when micro-batches are time-ordered; an event older
-    than the previous batch sees the threshold in force at that batch's end.
+    Each micro-batch reads the rules in force over its own time span: those
+    from ``lookback`` before its oldest event up to its newest, with both
+    bounds pushed into the scan of the rule table. The newest rule at or
+    before the oldest event is the one to start from; only if the lookback
+    holds none are older rules read. Nothing is carried between batches, so
+    events and rules that arrive late or out of order get the threshold of
+    their own time, as in the batch form.
     """
     from eventflow.sources.views import cart_events
-
     view = view or cart_events
-    names = ["seen", "max_us", "threshold"]
 
     def fn(batch: DataFrame, batch_id: int, path: str) -> None:
         spark = batch.sparkSession
-        carry_root = f"{path}__carry"
         batch.persist()
         try:
-            prev = _read_carry(spark, carry_root, batch_id, names)
             cart = view(batch)
-            span = cart.agg(F.max(epoch_us("ts", cart)).alias("hi")).collect()[0]
+            us = epoch_us("ts", cart)
+            span = cart.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
             if span["hi"] is None:
-                _write_carry(spark, carry_root, batch_id, prev)
                 return
-            hi = int(span["hi"])
+            lo, hi = int(span["lo"]), int(span["hi"])
             rules = rules_loader(spark)
-            r_us = epoch_us("effective_ts", rules)
-            fresh = rules.filter(r_us <= F.lit(hi))
-            if prev["seen"]:
-                fresh = fresh.filter(r_us > F.lit(prev["max_us"]))
-            start = prev["threshold"] if prev["seen"] else default
-            out = changing_threshold(cart, fresh, default=start, with_message=False, bucket=bucket)
+            at = F.col("effective_ts")
+
+            def until(x):
+                return at <= time_literal(x, rules, "effective_ts")
+
+            def newest(r):
+                return r.agg(F.max_by("value", F.struct(epoch_us("effective_ts", r), F.col("rule_id"))).alias("v")).first()["v"]
+
+            near = rules.filter(until(hi) & ~until(lo - interval_us(lookback)))
+            start = newest(near.filter(until(lo)))
+            if start is None:
+                start = newest(rules.filter(until(lo - interval_us(lookback))))
+            out = changing_threshold(cart, near.filter(~until(lo)), default=default if start is None else int(start),
+                                     with_message=False, bucket=bucket)
             (out.select("event_id", "user_id", "quantity", "threshold")
                 .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
-            last = (fresh.agg(F.max_by("value", F.struct(r_us, F.col("rule_id"))).alias("v"))
-                         .collect()[0]["v"])
-            _write_carry(spark, carry_root, batch_id,
-                         {"seen": 1, "max_us": hi, "threshold": start if last is None else int(last)})
         finally:
             batch.unpersist()
     return fn
+
+
+def stream_rolling_sum(stream: DataFrame, value: str, key: str = "user_id", name: str = "running") -> DataFrame:
+    """A1: the key's running sum after every row, a value-state program."""
+    d = stream.select("event_id", "ts", key, F.col(value).cast("long").alias("amount"))
+    return d.groupBy(key).transformWithStateInPandas(
+        RunningCount(key, name, None, "amount"), _out_schema(d, key, name), "Append", "None")
+
+
+def stream_final_sum(stream: DataFrame, value: str, key: str = "user_id", name: str = "total") -> DataFrame:
+    """A2: the reduce's value per key so far, a native aggregate (update mode
+    emits the keys a micro-batch changed)."""
+    return stream.groupBy(key).agg(F.sum(F.col(value).cast("long")).alias(name))
+
+
+def side_output_fn(predicate: Column, view):
+    """Each micro-batch written once, partitioned by route: two outputs from one pass."""
+    def fn(batch: DataFrame, batch_id: int, path: str) -> None:
+        (route(view(batch), predicate).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").partitionBy("route").parquet(f"{path}/out_batch={batch_id}"))
+    return fn
+
+
+def stream_window_join(left: DataFrame, right: DataFrame, size: str, delay: str = "1 hour") -> DataFrame:
+    """J2 as a stream-stream join on key and window; the watermarks let Spark
+    drop buffered windows. ``left``: (left_id, user_id, ts); ``right``: (right_id, r_user_id, ts)."""
+    l2 = with_event_time(left, "ts", delay, "l_time").select("left_id", "user_id", F.window("l_time", size).alias("w"))
+    r2 = with_event_time(right, "ts", delay, "r_time").select("right_id", "r_user_id", F.window("r_time", size).alias("rw"))
+    j = l2.join(r2, (F.col("user_id") == F.col("r_user_id")) & (F.col("w") == F.col("rw")), "inner")
+    return j.select(to_ntz(F.col("w.start")).alias("window_start"), to_ntz(F.col("w.end")).alias("window_end"),
+                    "user_id", "left_id", "right_id")
+
+
+def purged_windows_batch(events_batch: DataFrame, carry: dict, every: int,
+                         bucket: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """One micro-batch of W8 purging: hits of each block of ``every`` rows; the
+    rows and hits of the block that is still open are carried."""
+    from eventflow.sources.views import server_events
+    s = server_events(events_batch)
+    hit = F.when(F.col("event_type") == S.REGISTERED, 1).otherwise(0).cast("long")
+    r = ordered.row_numbers(s, "__rn", ("ts", "event_id"), (), bucket)
+    block = F.floor((F.col("__rn") + F.lit(carry["rows"]) - 1) / every) + 1
+    blocks = r.groupBy(block.alias("firing_no")).agg(F.count(F.lit(1)).alias("c"), F.sum(hit).alias("n"))
+    first = carry["rows"] // every + 1
+    open_rows = carry["rows"] % every
+    c = F.col("c") + F.when(F.col("firing_no") == first, F.lit(open_rows)).otherwise(0)
+    n = F.col("n") + F.when(F.col("firing_no") == first, F.lit(carry["open_hits"])).otherwise(0)
+    full = blocks.select("firing_no", c.alias("c"), n.alias("n"))
+    out = full.filter(F.col("c") == every).select("firing_no", "n")
+    rest = full.filter(F.col("c") < every).agg(F.sum("n").alias("h"))
+    total = s.agg(F.count(F.lit(1)).alias("rows"))
+    # counters are added to the carry, so the open block's hits are given as a difference
+    left = F.when(F.col("rows") == 0, F.lit(0)).otherwise(F.coalesce("h", F.lit(0)) - F.lit(carry["open_hits"]))
+    return out, total.join(rest, F.lit(True)).select("rows", left.alias("open_hits"))

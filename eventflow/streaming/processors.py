@@ -33,11 +33,12 @@ class RunningCount(StatefulProcessor):
     """A4 (and A9 after a filter): events so far per key, value state.
 
     ``limit`` gives A8: the list is cleared when it grows past ``limit``,
-    so the emitted value is ``count % (limit + 1)``.
+    so the emitted value is ``count % (limit + 1)``. ``value`` gives A1: the
+    running sum of that column.
     """
 
-    def __init__(self, key: str = "user_id", name: str = "n", limit: int | None = None):
-        self.key, self.name, self.limit = key, name, limit
+    def __init__(self, key: str = "user_id", name: str = "n", limit: int | None = None, value: str | None = None):
+        self.key, self.name, self.limit, self.value = key, name, limit, value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", COUNT_STATE)
@@ -45,7 +46,8 @@ class RunningCount(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
         base = self.count.get()[0] if self.count.exists() else 0
-        n = base + np.arange(1, len(pdf) + 1, dtype="int64")
+        step = np.ones(len(pdf), "int64") if self.value is None else pdf[self.value].fillna(0).to_numpy("int64")
+        n = base + np.cumsum(step)
         self.count.update((int(n[-1]),))
         out = n if self.limit is None else n % (self.limit + 1)
         yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"),
@@ -85,64 +87,38 @@ class ListSize(StatefulProcessor):
     """A list of events per key; emits its size after each add.
 
     With ``ttl_ms`` the list state expires entries ``ttl_ms`` after they
-    were written (processing time), which is A7's retention.
+    were written (processing time), which is A7's retention, and the size is
+    read off the list. Without one the size is kept beside the list, which is
+    then only appended to; with ``max_items`` the list is cut to the newest
+    ``max_items`` events, so state and work per key are bounded.
     """
 
-    def __init__(self, key: str = "user_id", name: str = "n", ttl_ms: int | None = None):
-        self.key, self.name, self.ttl_ms = key, name, ttl_ms
+    def __init__(self, key: str = "user_id", name: str = "n", ttl_ms: int | None = None, max_items: int | None = None):
+        self.key, self.name, self.ttl_ms, self.max_items = key, name, ttl_ms, max_items
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.items = handle.getListState("events", StructType([StructField("event_id", LongType())]),
                                          self.ttl_ms)
+        self.size = handle.getValueState("size", COUNT_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
-        base = sum(1 for _ in self.items.get()) if self.items.exists() else 0
-        self.items.appendList([(int(e),) for e in pdf["event_id"]])
+        new = [(int(e),) for e in pdf["event_id"]]
+        if self.ttl_ms is not None:
+            base = sum(1 for _ in self.items.get()) if self.items.exists() else 0
+        else:
+            base = self.size.get()[0] if self.size.exists() else 0
         n = base + np.arange(1, len(pdf) + 1, dtype="int64")
+        if self.max_items is not None:
+            n = np.minimum(n, self.max_items)
+            kept = list(self.items.get()) if self.items.exists() else []
+            self.items.put([tuple(x) for x in (kept + new)[-self.max_items:]])
+        else:
+            self.items.appendList(new)
+        if self.ttl_ms is None:
+            self.size.update((int(n[-1]),))
         yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"),
                             self.key: pdf[self.key], self.name: n})
 
     def close(self) -> None:
         pass
-
-
-class EarlyCount(StatefulProcessor):
-    """A count trigger per tumbling window (key = window start).
-
-    Emits after every ``every``-th row of a window: the running count
-    (accumulating) or ``every`` (purging). An event-time timer at the window
-    end clears the window's state once the watermark passes it.
-    """
-
-    def __init__(self, every: int, purge: bool = False):
-        self.every, self.purge = every, purge
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", COUNT_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
-        base = self.count.get()[0] if self.count.exists() else 0
-        if not self.count.exists():
-            self.handle.registerTimer(int(pdf["window_end_ms"].iloc[0]))
-        rn = base + np.arange(1, len(pdf) + 1, dtype="int64")
-        self.count.update((int(rn[-1]),))
-        fire = rn % self.every == 0
-        sel = pdf.loc[fire]
-        vals = np.full(int(fire.sum()), self.every, dtype="int64") if self.purge else rn[fire]
-        yield pd.DataFrame({"window_start_us": sel["window_start_us"].astype("int64"),
-                            "window_end_us": sel["window_end_us"].astype("int64"),
-                            "firing_no": (rn[fire] // self.every).astype("int64"),
-                            "n": vals})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.count.clear()
-        yield pd.DataFrame({"window_start_us": pd.Series([], dtype="int64"),
-                            "window_end_us": pd.Series([], dtype="int64"),
-                            "firing_no": pd.Series([], dtype="int64"),
-                            "n": pd.Series([], dtype="int64")})
-
-    def close(self) -> None:
-        pass

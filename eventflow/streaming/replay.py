@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.functions.time import epoch_us
+from eventflow.functions.time import time_literal
 
 
 def replay(spark: SparkSession, sf_dir: str, table: str = "events",
@@ -15,12 +15,11 @@ def replay(spark: SparkSession, sf_dir: str, table: str = "events",
     The stream keeps the table's schema (``ts`` stays ``timestamp_ntz``; use
     :func:`eventflow.operators.windows.with_event_time` before a watermark).
     """
-    path = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{path}/{table}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{table}.parque"
+    r = spark.readStream.schema(spark.read.parquet(path + "t").schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    return r.parquet(path + "[t]")  # as a pattern it may name one file or a folder of part files
 
 
 def replay_dir(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -38,12 +37,11 @@ def write_time_slice(df: DataFrame, path: str, lo_us: int | None, hi_us: int | N
     Used to build a multi-file replay (each call = later data, written after
     the previous slice, so file order = time order).
     """
-    us = epoch_us(ts, df)
-    cond = F.lit(True)
+    cond = F.lit(True)  # on the raw column, so that the bounds reach the scan
     if lo_us is not None:
-        cond = cond & (us >= F.lit(lo_us))
+        cond = cond & (F.col(ts) >= time_literal(lo_us, df, ts))
     if hi_us is not None:
-        cond = cond & (us < F.lit(hi_us))
+        cond = cond & (F.col(ts) < time_literal(hi_us, df, ts))
     out = df.filter(cond)
     if files:
         out = out.repartitionByRange(files, ts)

@@ -60,18 +60,10 @@ def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, st
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists (Hadoop FS of the session; pyarrow as fallback)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001  (e.g. no JVM handle)
-        import pyarrow.fs as pafs
-
-        from eventflow.fsutil import resolve
-        fs, p = resolve(path)
-        return fs.get_file_info(p).type != pafs.FileType.NotFound
+    """Whether ``path`` exists in the session's Hadoop file system."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
 
 
 def run_until_caught_up(df: DataFrame, name: str, output_mode: str = "append",
@@ -82,7 +74,8 @@ def run_until_caught_up(df: DataFrame, name: str, output_mode: str = "append",
     stopped once the input is consumed. Needed for processing-time state
     programs (TTL, timers), whose no-data batches keep an ``availableNow``
     query (and ``processAllAvailable``) from finishing. With
-    ``expected_rows`` the query stops once that many input rows were read."""
+    ``expected_rows`` the query stops once that many input rows were read.
+    Raises ``TimeoutError`` if the input is not consumed in ``timeout_s``."""
     import time
 
     spark = df.sparkSession
@@ -96,9 +89,15 @@ def run_until_caught_up(df: DataFrame, name: str, output_mode: str = "append",
            .trigger(processingTime=every)
            .start())
     deadline = time.time() + timeout_s
+    # every batch counts once: Spark itself keeps only the newest progress entries
+    rows: dict[int, int] = {}
     try:
-        while time.time() < deadline and q.isActive:
-            seen = sum(p.get("numInputRows", 0) for p in q.recentProgress)
+        while q.isActive:
+            for p in q.recentProgress:
+                rows[p["batchId"]] = max(rows.get(p["batchId"], 0), p.get("numInputRows", 0))
+            seen = sum(rows.values())
+            if time.time() > deadline:
+                raise TimeoutError(f"{name}: {seen} input rows read in {timeout_s} s, the input is not consumed")
             idle = q.lastProgress is not None and q.lastProgress.get("numInputRows", 0) == 0
             if (expected_rows is not None and seen >= expected_rows and idle) or \
                (expected_rows is None and seen > 0 and idle):

@@ -25,18 +25,24 @@ def run_stream(df: DataFrame, sink_format: str, path: str, checkpoint: str,
     return w.start()
 
 
+PROGRESS_SCHEMA = "event string, id string, batch_id long, rows long, error string"
+
+
 class ProgressRecorder(StreamingQueryListener):
     """Callbacks when a micro-batch (and its checkpoint) completes or the
-    query ends. Keeps a bounded list of small progress rows on the driver."""
+    query ends. With a ``path`` every callback is appended to a Parquet table
+    there (``PROGRESS_SCHEMA``); without one the rows are kept in ``rows``."""
 
-    def __init__(self, max_rows: int = 10_000):
+    def __init__(self, spark=None, path: str | None = None):
         self.rows: list[dict] = []
-        self.max_rows = max_rows
+        self.spark, self.path = spark, path
 
     def _add(self, row: dict) -> None:
-        if len(self.rows) >= self.max_rows:
-            self.rows.pop(0)
-        self.rows.append(row)
+        if self.path is None:
+            self.rows.append(row)
+            return
+        values = [tuple(row.get(f) for f in ("event", "id", "batch_id", "rows", "error"))]
+        self.spark.createDataFrame(values, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
         self._add({"event": "started", "id": str(event.id), "batch_id": None, "rows": None})
@@ -54,7 +60,7 @@ class ProgressRecorder(StreamingQueryListener):
                    "batch_id": None, "rows": None, "error": event.exception})
 
 
-def attach_progress(spark) -> ProgressRecorder:
-    rec = ProgressRecorder()
+def attach_progress(spark, path: str | None = None) -> ProgressRecorder:
+    rec = ProgressRecorder(spark, path)
     spark.streams.addListener(rec)
     return rec

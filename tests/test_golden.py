@@ -183,7 +183,7 @@ def test_a9_ignores_removed(spark):
 def test_j5_fixed_threshold(spark):
     got = joins.fixed_threshold(FX.cart_mixed(spark), 2).collect()
     assert sorted(r["event_id"] for r in got) == [3, 5]
-    assert got[0]["message"].startswith("User Bob attempting to purchase")
+    assert got[0]["message"].startswith("large order:") and "by user Bob" in got[0]["message"]
 
 
 @pytest.mark.parametrize("bucket", ["1 second", "2 seconds", "1 day"])

@@ -97,10 +97,10 @@ def test_split_is_a_partition_of_the_input(spark, seed):
     assert main.join(side, "event_id").count() == 0
 
 
-@pytest.mark.parametrize("seed,parts", [(16, 1), (17, 3), (18, 7)])
-def test_retained_count_equals_range_frame(spark, seed, parts):
+@pytest.mark.parametrize("seed,bucket", [(16, "1 minute"), (17, "7 minutes"), (18, "3 hours")])
+def test_retained_count_equals_range_frame(spark, seed, bucket):
     ev = _events(spark, seed, ties=False)
-    got = running.retained_count(ev, retention="10 minutes", parts=parts)
+    got = running.retained_count(ev, retention="10 minutes", bucket=bucket)
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     w = Window.partitionBy("user_id").orderBy(us).rangeBetween(-(600 * 10**6 - 1), 0)
     same = Window.partitionBy("user_id", "ts")

@@ -71,7 +71,7 @@ def test_k1_k2_k8_and_r6(spark, tmp_dir, capsys):
     assert "Daniel says this is ok" in capsys.readouterr().out
     write_text(routing.with_parallelism(lines, 1), f"{tmp_dir}/one", single_file=True)
     assert sorted(r["value"] for r in spark.read.text(f"{tmp_dir}/one").collect()) == sorted(FX.TEXT_LINES)
-    assert len(fetch_small(lines, 2)) == 2
+    assert [r["value"] for r in fetch_small(lines)] == FX.TEXT_LINES and len(fetch_small(lines.limit(2))) == 2
     assert routing.with_parallelism(lines, 3, shuffle=True).rdd.getNumPartitions() == 3
 
 
