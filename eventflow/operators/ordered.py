@@ -82,7 +82,9 @@ def _join_back(inner: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
     for k, r in ren.items():
         c = c.withColumnRenamed(k, r)
     c = c.withColumnRenamed(BUCKET, "__cb")
-    cond = [inner[BUCKET] == c["__cb"]] + [inner[k].eqNullSafe(c[r]) for k, r in ren.items()]
+    # null-safe, rows without a time included; a plain equality would also put a
+    # not-null filter below one side's exchange only, which could not be shared
+    cond = [inner[BUCKET].eqNullSafe(c["__cb"])] + [inner[k].eqNullSafe(c[r]) for k, r in ren.items()]
     out = inner.join(c, on=cond, how="inner")
     return out.drop("__cb", *ren.values())
 
@@ -105,7 +107,11 @@ def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] =
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.select("*", *[F.sum(v).over(w_in).alias(f"__in_{n}") for n, v in vcols.items()])
-    totals = d.groupBy(*keys, BUCKET).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in vcols.items()])
+    # a bucket's totals are its last row's running sums: they come off the
+    # frame that is already dealt and sorted by (keys, bucket), so the same
+    # scan, exchange and sort serve the rows and the bucket table
+    last = F.max_by(F.struct(*[F.col(f"__in_{n}").alias(f"__t_{n}") for n in vcols]), F.struct(*_order_cols(order)))
+    totals = inner.groupBy(*keys, BUCKET).agg(last.alias("__l")).select(*keys, BUCKET, "__l.*")
     w_b = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BUCKET, *[
         F.coalesce(F.sum(f"__t_{n}").over(w_b), F.lit(0)).alias(f"__o_{n}") for n in vcols])

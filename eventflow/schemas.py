@@ -1,9 +1,4 @@
-"""Row shapes of the event types (one wide row + ``event_type`` per family)."""
-
-from pyspark.sql.types import (
-    ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField,
-    StructType, TimestampNTZType, TimestampType,
-)
+"""Event type names, and which raw event types make up each typed view."""
 
 # Event type names, as the event classes are called.
 ADD = "AddToShoppingCartEvent"
@@ -12,64 +7,8 @@ VIEWED = "ProductDetailsViewed"
 REGISTERED = "PlayerRegistered"
 ONLINE = "PlayerOnline"
 OFFLINE = "PlayerOffline"
-LOOKING = "PlayerIsLookingForAGame"
-GAME_STARTED = "GameStarted"
-GAME_FINISHED = "GameFinished"
-GAME_TYPES = ["OneVsOne", "TwoVsTwo", "ThreeVsThree", "FourVsFour"]
 
 # Driver table -> typed view mapping (raw event_type -> event class).
 CART_TYPES = {"purchase": ADD, "click": REMOVED}
 CATALOG_TYPES = {"view": VIEWED}
 SERVER_TYPES = {"signup": REGISTERED, "view": ONLINE, "error": OFFLINE}
-
-RAW_EVENTS = StructType([
-    StructField("event_id", LongType()),
-    StructField("ts", TimestampNTZType()),
-    StructField("user_id", LongType()),
-    StructField("event_type", StringType()),
-    StructField("value", DoubleType()),
-    StructField("props", StringType()),
-])
-
-CART_EVENT = StructType([
-    StructField("event_id", LongType()),
-    StructField("event_type", StringType()),
-    StructField("user_id", StringType()),
-    StructField("sku", StringType()),
-    StructField("quantity", IntegerType()),
-    StructField("ts", TimestampType()),
-])
-
-CATALOG_EVENT = StructType([
-    StructField("event_id", LongType()),
-    StructField("user_id", StringType()),
-    StructField("product_id", StringType()),
-    StructField("ts", TimestampType()),
-])
-
-SERVER_EVENT = StructType([
-    StructField("event_id", LongType()),
-    StructField("event_type", StringType()),
-    StructField("ts", TimestampType()),
-    StructField("player_id", StringType()),
-    StructField("nickname", StringType()),
-])
-
-GAME_STARTED_EVENT = StructType([
-    StructField("ts", TimestampType()),
-    StructField("game_id", StringType()),
-    StructField("player_ids", ArrayType(StringType())),
-    StructField("map_id", StringType()),
-    StructField("region_id", StringType()),
-    StructField("game_type", StringType()),
-])
-
-PERSON = StructType([StructField("name", StringType()), StructField("age", IntegerType())])
-
-FIZZBUZZ = StructType([StructField("n", LongType()), StructField("output", StringType())])
-
-BUS_RECORD = StructType([
-    StructField("key", BinaryType()),
-    StructField("value", BinaryType()),
-    StructField("topic", StringType()),
-])
