@@ -2,7 +2,7 @@
 
 Rows are dealt into ``BUCKETS`` buckets by the hash of their key. An upsert
 writes the latest row per key of (bucket as it was UNION batch) for the
-buckets the batch touches, and only those, to ``data/version=<n>``; then it
+buckets the batch touches, and only those, to ``data/__version=<n>``; then it
 publishes ``commits/<n>``, which says for every bucket which version holds it.
 Spark's ``_SUCCESS`` marker makes the commit: a write that dies before it
 leaves the table as it was. Versions no bucket points to stay for readers of
@@ -54,8 +54,8 @@ def _read(spark: SparkSession, path: str, holders: dict[int, int], schema=None)
     r = spark.read.option("basePath", f"{path}/data")
     if schema is not None:
         r = r.schema(schema.add(_BUCKET, "int") if _BUCKET not in schema.names else schema)
-    df = r.parquet(*[f"{path}/data/version={v}/{_BUCKET}={b}" for b, v in sorted(holders.items())])
-    return df.drop("version", _BUCKET)
+    df = r.parquet(*[f"{path}/data/__version={v}/{_BUCKET}={b}" for b, v in sorted(holders.items())])
+    return df.drop("__version", _BUCKET)
 
 
 def read_latest(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -78,7 +78,7 @@ def upsert_latest(spark: SparkSession, path: str, batch: DataFrame, keys: Sequen
     current = _read(spark, path, {b: v for b, v in holders.items() if b in touched})
     merged = batch if current is None else current.select(*batch.columns).unionByName(batch)
     (latest_per_key(merged, keys, order).withColumn(_BUCKET, bucket)
-     .write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{path}/data/version={version}"))
+     .write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{path}/data/__version={version}"))
     holders.update({b: version for b in touched})
     (spark.createDataFrame(sorted(holders.items()), "bucket int, version long").coalesce(1)
      .write.mode("overwrite").parquet(f"{path}/commits/{version}"))
@@ -92,7 +92,7 @@ def vacuum(spark: SparkSession, path: str) -> None:
     if not holders or not fs.exists(data):
         return
     for v in fs.listStatus(data):
-        version = v.getPath().getName().removeprefix("version=")
+        version = v.getPath().getName().removeprefix("__version=")
         if not version.isdigit():
             continue
         for b in fs.listStatus(v.getPath()):

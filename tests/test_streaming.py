@@ -174,12 +174,12 @@ def test_upsert_survives_a_died_write(spark, tmp_dir):
     rows = lambda *r: spark.createDataFrame(list(r), schema)
     upsert.upsert_latest(spark, path, rows(*[(f"u{i}", i, 0) for i in range(40)]), ["name"], ["at"])
     os.makedirs(f"{path}/commits/1/_temporary")  # a publication that died
-    os.makedirs(f"{path}/data/version=1/_temporary")
+    os.makedirs(f"{path}/data/__version=1/_temporary")
     assert upsert.read_latest(spark, path).count() == 40
     upsert.upsert_latest(spark, path, rows(("u3", 99, 1), ("new", 1, 1), ("u4", 5, -1)), ["name"], ["at"])
     got = {r["name"]: r["age"] for r in upsert.read_latest(spark, path).collect()}
     assert len(got) == 41 and got["u3"] == 99 and got["u4"] == 4 and got["new"] == 1
-    assert len([d for d in os.listdir(f"{path}/data/version=1") if d.startswith("__bucket")]) <= 3  # touched buckets only
+    assert len([d for d in os.listdir(f"{path}/data/__version=1") if d.startswith("__bucket")]) <= 3  # touched buckets only
     upsert.vacuum(spark, path)
     assert {r["name"]: r["age"] for r in upsert.read_latest(spark, path).collect()} == got
 
