@@ -219,7 +219,8 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     usable = _usable(labels, id_col, label_col)
     learn = usable.where(~is_held_out(F.col("of")))
     src = texts(df, id_col, text_col)
-    train = (src.where(~is_held_out(col(src, id_col))).join(learn, col(src, id_col) == F.col("of"))
+    # one plan at every size: labels grow with the documents
+    train = (src.where(~is_held_out(col(src, id_col))).join(learn.hint("merge"), col(src, id_col) == F.col("of"))
              .select("toxic", col(src, text_col)))
     ratios = fit(train)
     spread = df.sparkSession.sparkContext.broadcast((ratios.seen, ratios.context))
