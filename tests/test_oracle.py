@@ -8,10 +8,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from eventflow.plans import ORACLE, QUERIES
 from tools.check_oracle import check
 
 SF = os.environ.get("EVENTFLOW_TEST_SF", "/root/testdata/sf0.001")
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -20,9 +21,9 @@ def test_query_matches_oracle(spark, name):
     assert res[0] in ("OK", "ROWS"), res
 
 
-def test_every_query_but_nondeterministic_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"stream_arrival_window"}
+def test_every_query_is_registered_and_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
