@@ -138,8 +138,11 @@ def count_windows(df: DataFrame, every: int, predicate: Column | None = None,
 
 def arrival_time_count(df: DataFrame, size: str, keys: Sequence[str] = (), name: str = "n") -> DataFrame:
     """Tumbling window on processing (arrival) time. Non-deterministic by
-    nature: a micro-batch shares one arrival time."""
+    nature: a micro-batch shares one arrival time. On a stream old windows are
+    dropped by a watermark of a minute."""
     d = df.withColumn("arrival_ts", F.current_timestamp())
+    if df.isStreaming:
+        d = d.withWatermark("arrival_ts", "1 minute")
     return tumbling_count(d, size, None, keys, ts="arrival_ts", name=name)
 
 

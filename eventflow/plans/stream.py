@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventflow import schemas as S
 from eventflow.functions.time import epoch_us, to_ntz
-from eventflow.operators.windows import session_count_native, with_event_time
+from eventflow.operators.windows import arrival_time_count, session_count_native, with_event_time
 from eventflow.plans.registry import ORACLE, query
 from eventflow.plans.sqlviews import CART, HOUR, SERVER, ts_of, wstart
 from eventflow.session import scratch_path
@@ -199,11 +199,7 @@ def stream_arrival_window(spark, sf):
     """Processing-time (arrival) tumbling windows, update mode. Which
     window a row falls in depends on the clock; that every row is counted in
     one does not, so the newest counts of all windows are summed."""
-    s = cart_events(_stream(spark, sf)).withColumn("arrival_ts", F.current_timestamp())
-    g = (s.withWatermark("arrival_ts", "1 minute")
-          .groupBy(F.window("arrival_ts", "1 hour").alias("w"))
-          .agg(F.count(F.lit(1)).alias("n")))
-    g = g.select(F.col("w.start").alias("window_start"), "n")
+    g = arrival_time_count(cart_events(_stream(spark, sf)), "1 hour").select("window_start", "n")
 
     def fn(batch, batch_id, path):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
