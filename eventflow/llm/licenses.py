@@ -144,15 +144,15 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: l
     """Per row: id, carry, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     src = texts(df, id_col, text_col, carry)
     text = col(src, text_col)
-    gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    phrase = "(?:^|.*?" + gap[:-1] + ")(?:" + "|".join(gap.join(p.split()) for p in BASE) + ")(?:" + gap + "|$)"
+    gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+    phrase = f"(?:^|{gap})(?:" + "|".join(f"{gap}+".join(p.split()) for p in BASE) + f")(?:{gap}|$)"
     rare = F.lit(False)
     for p in BASE:  # a cheap look first
         hit = F.lit(True)
         for w in p.split():
             hit = hit & F.col("_lower").contains(w)
         rare = rare | hit
-    marked = src.withColumn("_lower", F.lower(text)).withColumn("_has", rare & F.col("_lower").rlike("(?s)" + phrase))
+    marked = src.withColumn("_lower", F.lower(text)).withColumn("_has", rare & F.col("_lower").rlike(phrase))
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     all_words = F.filter(_words(F.translate(text, upper, upper.lower())), lambda w: w != "")
     marked = marked.withColumn("_words", F.when(F.col("_has"), all_words)).withColumn("_parts", _words(text))
