@@ -18,7 +18,7 @@ _POWERS: list[np.ndarray] = []
 
 def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 22)
+        size = max(n, 1 << 20)
         _POWERS.clear()
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             p = np.full(size, base, np.uint64)
@@ -48,10 +48,19 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     last = word.copy()
     last[:-1] &= ~word[1:] | first[1:]
     ends = np.flatnonzero(last) + 1
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_OF_BYTE[folded] * up[:len(data)] * word, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts]), np.searchsorted(starts, off)
+    return run_hashes(_OF_BYTE[folded] * word, starts, ends), np.searchsorted(starts, off)
+
+
+def byte_values(data: np.ndarray) -> np.ndarray:
+    return _OF_BYTE[data]
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs values[starts[i]:ends[i]]: differences of scaled prefix sums."""
+    up, down = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
 
 
 def shingle_hashes(words: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
