@@ -8,6 +8,9 @@ ones until it has ``min_words`` words and ``min_sentences`` sentences. Spans
 are hashed (words lower-cased, white space made single) and joined globally;
 every sentence that a non-first occurrence of a repeated span covers is
 removed. First is the smallest (id, text digest, place); a null id comes last.
+All texts of a batch are cut and hashed at once; only (id, text digest, hash,
+place, size) of each span is shuffled, and a span that a third of all
+documents hold is one partial aggregate a task.
 
 Rows with the same id and the same text are one document and give the same
 result, so a repeated row keeps what its first occurrence keeps. A null text
@@ -16,7 +19,6 @@ counts as empty. Texts are read whole.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,93 +27,115 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import col, staged, steps, texts
+from eventflow.llm.common import col, staged, steps, text_bytes, texts
+from eventflow.llm.wordhash import byte_values, run_hashes
 
 MIN_WORDS, MIN_SENTENCES = 24, 2
 #: sentences of more words are cut behind words whose hash is 0 modulo CUT
 LONG, CUT = 12, 6
-_SENTENCE = re.compile(rb"[^.!?;,\n]*[.!?;,\n]+[\x20\t\r\x0b\x0c]*|[^.!?;,\n]+")
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-
-
-def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, lower-cased words) of each sentence; together they are the text."""
-    import xxhash
-    out, a, words = [], 0, []
-    for m in _SENTENCE.finditer(text):
-        ws = m.group().lower().split()
-        if len(ws) <= LONG:
-            words += ws
-            if ws:
-                out.append((a, m.end(), words))
-                a, words = m.end(), []
-            continue
-        for w in _WORD.finditer(text, m.start(), m.end()):
-            word = w.group().lower().strip()
-            words.append(word)
-            if xxhash.xxh32_intdigest(word) % CUT == 0 and w.end() < m.end():
-                out.append((a, w.end(), words))
-                a, words = w.end(), []
-        if words:
-            out.append((a, m.end(), words))
-            a, words = m.end(), []
-    if a < len(text):
-        if out:
-            out[-1] = (out[-1][0], len(text), out[-1][2])
-        else:
-            out.append((a, len(text), words))
-    return out
-
-
-def spans(cut: list[tuple[int, int, list[bytes]]], min_words: int, min_sentences: int) -> tuple[list[int], list[int]]:
-    """Hash and number of sentences of the span that begins at each sentence (0: the text ends first)."""
-    import xxhash
-    n = len(cut)
-    if not n:
-        return [], []
-    total = np.concatenate(([0], np.cumsum([len(w) for _, _, w in cut])))
-    ends = np.maximum(np.searchsorted(total, total[:-1] + min_words), np.arange(n) + min_sentences)
-    lines = [b" ".join(w) for _, _, w in cut]
-    hashes, sizes = [], []
-    for i, e in enumerate(ends.tolist()):
-        if e > n:
-            hashes.append(0)
-            sizes.append(0)
-        else:
-            h = xxhash.xxh3_64_intdigest(b" ".join(lines[i:e]))
-            hashes.append(h - (1 << 64) if h >> 63 else h)
-            sizes.append(e - i)
-    return hashes, sizes
-
-
-_SPAN_ROWS = T.StructType([T.StructField("id", T.LongType()), T.StructField("tk", T.LongType()),
-                           T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.IntegerType()))])
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_END = np.zeros(256, bool)
+_END[np.frombuffer(b".!?;,\n", np.uint8)] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+class Cut:
+    """The sentences of a batch of texts.
+
+    ``begin`` and ``end`` are places in the batch's bytes, ``word`` the number
+    of words in front of each sentence (and in all), ``of`` the number of
+    sentences in front of each text (and in all). A text that is not empty has
+    a sentence, with no words if it has none.
+    """
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        n = len(data)
+        space, ending = _SPACE[data], _END[data]
+        blank = space & ~ending  # white space that does not end a sentence
+        inner = off[(off > 0) & (off < n)]
+        # a piece begins behind a run of sentence ends and the blanks that follow it
+        last = np.maximum.accumulate(np.where(blank, -1, np.arange(n))) if n else np.zeros(0, np.int64)
+        before = np.concatenate(([-1], last[:-1]))[:n]
+        begins = ~blank & (before >= 0) & ending[before]
+        begins[1:] &= ~(ending[1:] & ending[:-1])
+        begins[inner] = True
+        if n:
+            begins[0] = True
+        solid = ~space
+        first = solid.copy()
+        first[1:] &= space[:-1] | begins[1:]
+        final = solid.copy()
+        final[:-1] &= space[1:] | begins[1:]
+        starts, ends = np.flatnonzero(first), np.flatnonzero(final) + 1
+        values = byte_values(_LOWER[data])
+        self.hashes = run_hashes(values, starts, ends)
+        piece_begin = np.flatnonzero(begins)
+        piece = np.searchsorted(piece_begin, starts, "right") - 1
+        size = np.bincount(piece, minlength=len(piece_begin))
+        text = np.searchsorted(off, starts, "right") - 1
+        new_text, new_piece, cut = (np.ones(len(starts), bool) for _ in range(3))
+        new_text[1:] = text[1:] != text[:-1]
+        new_piece[1:] = piece[1:] != piece[:-1]
+        cut[1:] = (size[piece[:-1]] > LONG) & (self.hashes[:-1] % np.uint64(CUT) == 0)
+        head = np.flatnonzero(new_text | new_piece | cut)
+        # a sentence begins where the piece of the word before it ended, or at its own first word
+        at = starts[head]
+        behind = np.append(piece_begin, n)[piece[np.maximum(head - 1, 0)] + 1]
+        at = np.where(new_piece[head], behind, at)
+        at = np.where(new_text[head], off[text[head]], at)
+        # texts without words, one sentence each
+        bare = np.flatnonzero((np.diff(off) > 0) & (np.bincount(text, minlength=len(off) - 1) == 0))
+        whose = np.concatenate((text[head], bare))
+        order = np.argsort(whose, kind="stable")
+        self.text = whose[order]
+        self.begin = np.concatenate((at, off[bare]))[order]
+        self.word = np.append(np.concatenate((head, np.searchsorted(starts, off[bare])))[order], len(starts))
+        self.of = np.searchsorted(self.text, np.arange(len(off)))
+        self.end = np.append(self.begin[1:], n)
+        closing = self.of[1:][np.diff(self.of) > 0] - 1
+        self.end[closing] = off[self.text[closing] + 1]
+
+    def spans(self, min_words: int, min_sentences: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sentence it begins at, number of sentences, hash) of every span that its text has room for."""
+        k = np.arange(len(self.text))
+        e = np.maximum(np.searchsorted(self.word, self.word[:-1] + min_words), k + min_sentences)
+        ok = e <= self.of[self.text + 1] if len(k) else np.zeros(0, bool)
+        k, e = k[ok], e[ok]
+        return k, e - k, run_hashes(self.hashes, self.word[k], self.word[e])
+
+
+def sentences(text: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, number of words) of each sentence of one text; together they are the text."""
+    data = np.frombuffer(text, np.uint8)
+    cut = Cut(data, np.array([0, len(data)]))
+    return list(zip(cut.begin.tolist(), cut.end.tolist(), np.diff(cut.word).tolist()))
 
 
 def span_hashes(docs: DataFrame, min_words: int, min_sentences: int) -> DataFrame:
     """(id, tk, hash, place, size) of every span of docs (id, text, tk)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, 1):
-            hs, ns = [], []
-            for t in b.column(1).cast(pa.binary()).to_pylist():
-                h, n = spans(sentences(t), min_words, min_sentences)
-                hs.append(h)
-                ns.append(n)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(hs, pa.list_(pa.int64())),
-                                              pa.array(ns, pa.list_(pa.int32()))], names=_SPAN_ROWS.names)
+            cut = Cut(*text_bytes(b.column(1)))
+            k, size, h = cut.spans(min_words, min_sentences)
+            text = cut.text[k]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(text)), b.column(2).take(pa.array(text)), pa.array(h.view(np.int64)),
+                 pa.array((k - cut.of[text]).astype(np.int32)), pa.array(size.astype(np.int32))], names=["id", "tk", "hash", "place", "size"])
 
-    return (docs.mapInArrow(run, _SPAN_ROWS)
-            .select("id", "tk", F.posexplode(F.arrays_zip("hashes", "sizes")).alias("place", "s"))
-            .where("s.sizes > 0").select("id", "tk", F.col("s.hashes").alias("hash"), "place", F.col("s.sizes").alias("size")))
+    return docs.mapInArrow(run, "id long, tk long, hash long, place int, size int")
 
 
 def removed_sentences(docs: DataFrame, min_words: int, min_sentences: int) -> DataFrame:
     """(id, tk, runs): the runs (place, size) of sentences that non-first repeated spans cover."""
     found = span_hashes(docs, min_words, min_sentences)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "tk", "place")
-    # partial aggregates: a span that a third of all documents hold is one row a task
     firsts = (found.groupBy(F.col("hash").alias("of")).agg(F.min(order).alias("first"), F.max(order).alias("last"))
               .where(F.col("first") != F.col("last")).select("of", "first"))
+    # staged, so that the join's skewed side is a plain exchange that Spark can split
+    firsts = staged(firsts, "sentence-firsts")
     return (found.join(firsts, found["hash"] == firsts["of"]).where(order != F.col("first"))
             .groupBy("id", "tk").agg(F.collect_set(F.struct("place", "size")).alias("runs")))
 
@@ -133,21 +157,29 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, at):
-            rows = []
-            for text, found in zip(b.column(at).cast(pa.binary()).to_pylist(), b.column(last).to_pylist()):
-                cut = sentences(text)
-                gone = np.zeros(len(cut) + 1, np.int8)
-                for r in found or []:
-                    gone[r["place"]:r["place"] + r["size"]] = 1
-                n = int(gone.sum())
-                if not n:
-                    rows.append((len(text), 0, 0, len(cut), 0, text))
-                    continue
-                kept = b"".join([text[a:e] for (a, e, _), g in zip(cut, gone) if not g])
-                rows.append((len(text), len(text) - len(kept), int((np.diff(gone, prepend=0) == 1).sum()), len(cut), n, kept))
-            cols = list(zip(*rows))
+            data, off = text_bytes(b.column(at))
+            cut = Cut(data, off)
+            gone = np.zeros(len(cut.text) + 1, np.int32)
+            for i, found in enumerate(b.column(last).to_pylist()):
+                for r in found or ():
+                    k = cut.of[i] + r["place"]
+                    gone[k] += 1
+                    gone[k + r["size"]] -= 1
+            gone = np.cumsum(gone[:-1]) > 0
+            opens = gone.copy()
+            opens[1:] &= ~gone[:-1] | (cut.text[1:] != cut.text[:-1])
+            length = np.where(gone, cut.end - cut.begin, 0)
+
+            def by_text(x):
+                total = np.concatenate(([0], np.cumsum(x, dtype=np.int64)))
+                return total[cut.of[1:]] - total[cut.of[:-1]]
+
+            n_bytes, removed = np.diff(off), by_text(length)
+            keep = np.repeat(~gone, cut.end - cut.begin)
+            ends = np.concatenate(([0], np.cumsum(n_bytes - removed))).astype(np.int32)
+            text = pa.Array.from_buffers(pa.string(), b.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(data[keep].tobytes())])
             kept = [b.column(i) for i in range(b.num_columns) if i not in (at, last)]
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, pa.int64()) for c in cols[:5]],
-                                              pa.array(cols[5], pa.binary()).cast(pa.string())], names=out.names)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(n_bytes), pa.array(removed), pa.array(by_text(opens)),
+                                              pa.array(np.diff(cut.of)), pa.array(by_text(gone)), text], names=out.names)
 
     return joined.mapInArrow(run, out)

@@ -2,11 +2,14 @@
 
 import hashlib
 import random
+import re
 
 import duckdb
+import numpy as np
 
 from eventflow.llm import licenses, sentence_spans
 from eventflow.llm.queries import ORACLE, QUERIES
+from eventflow.llm.wordhash import byte_values, run_hashes
 from tests.llm.conftest import rows_of
 from tests.llm.test_texts import ODD, PROSE, by_row
 
@@ -39,14 +42,49 @@ def test_op4_runs_no_python(spark, documents):
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
 
 
+def word_hash(word):
+    data = np.frombuffer(word, np.uint8)
+    return int(run_hashes(byte_values(data), np.array([0]), np.array([len(data)]))[0])
+
+
+def plain_sentences(text):
+    """(start, end, lower-cased words), one regular expression match at a time."""
+    out, a = [], 0
+    for m in re.finditer(rb"[^.!?;,\n]*[.!?;,\n]+[\x20\t\r\x0b\x0c]*|[^.!?;,\n]+", text):
+        words = []
+        for w in re.finditer(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", m.group()):
+            words.append(w.group().strip().lower())
+            if len(m.group().split()) > sentence_spans.LONG and word_hash(words[-1]) % sentence_spans.CUT == 0 and w.end() < len(m.group()):
+                out.append((a, m.start() + w.end(), words))
+                a, words = m.start() + w.end(), []
+        if words:
+            out.append((a, m.end(), words))
+            a = m.end()
+    if a < len(text):
+        out = [*out[:-1], (out[-1][0], len(text), out[-1][2])] if out else [(0, len(text), [])]
+    return out
+
+
+def plain_sizes(cut):
+    """Number of sentences of the span from each sentence; 0 where the text ends first."""
+    sizes = []
+    for k in range(len(cut)):
+        words = size = 0
+        while k + size < len(cut) and (words < sentence_spans.MIN_WORDS or size < sentence_spans.MIN_SENTENCES):
+            words += len(cut[k + size][2])
+            size += 1
+        sizes.append(size if words >= sentence_spans.MIN_WORDS and size >= sentence_spans.MIN_SENTENCES else 0)
+    return sizes
+
+
 def plain_dedup(rows):
     docs = {(r[0], r[1] or "") for r in rows}
     seen = {}
     for i, t in docs:
-        cut = sentence_spans.sentences(t.encode())
+        cut = plain_sentences(t.encode())
+        assert [(a, b, len(w)) for a, b, w in cut] == sentence_spans.sentences(t.encode())
         assert b"".join(t.encode()[a:b] for a, b, _ in cut) == t.encode()
-        sizes = sentence_spans.spans(cut, sentence_spans.MIN_WORDS, sentence_spans.MIN_SENTENCES)[1]
-        for k, n in enumerate(sizes):
+        for k, n in enumerate(plain_sizes(cut)):
             if n:
                 seen.setdefault(b" ".join(w for s in cut[k:k + n] for w in s[2]), []).append((i is None, i or 0, t, k, n))
     gone = {}
@@ -57,7 +95,7 @@ def plain_dedup(rows):
     for r in rows:
         t = (r[1] or "").encode()
         drop = gone.get((r[0], r[1] or ""), set())
-        kept = b"".join(t[a:b] for k, (a, b, _) in enumerate(sentence_spans.sentences(t)) if k not in drop)
+        kept = b"".join(t[a:b] for k, (a, b, _) in enumerate(plain_sentences(t)) if k not in drop)
         out.append((r[0], len(t), len(t) - len(kept), len(drop), hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=repr)
 
