@@ -100,12 +100,17 @@ def matching_blocks(df: DataFrame, text_col: str = "text", templates=TEMPLATES,
         ranked = sorted(words, key=order.get)
         rows += [(w, k, i, len(words), o) for i, w in enumerate(ranked[:len(words) - o + 1])]
     index = df.sparkSession.createDataFrame(rows, "token string, template int, i int, size int, needed int")
-    # a document that misses a template's words as a whole has no block that meets it
+    # a document that misses a template's words as a whole has no block that meets it;
+    # inside exists() the document's words are looked up once, not once a template
     held = F.array_intersect(_words(F.lower("text")), _strings(vocabulary))
-    hopeful = F.lit(False)
-    for words in sets:
-        hopeful = hopeful | (F.size(F.array_intersect("held", _strings(words))) >= needed(len(words), threshold))
-    blocks = (docs.withColumn("held", held).where(hopeful)
+
+    def hopeful(h):
+        ok = F.lit(False)
+        for words in sets:
+            ok = ok | (F.size(F.array_intersect(h, _strings(words))) >= needed(len(words), threshold))
+        return ok
+
+    blocks = (docs.where(F.exists(F.array(held), hopeful))
               .select(_digest(F.col("text")).alias("text_digest"), F.explode(F.split("text", BLOCK, -1)).alias("block"))
               .withColumn("tokens", F.array_intersect(_words(F.lower("block")), _strings(vocabulary)))
               .where(F.size("tokens") >= min(needed(len(w), threshold) for w in sets)))
