@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from eventflow.session import scratch_path
 
 #: bytes of text that one vectorised step holds at once (a single longer text is one step)
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 
 def col(df: DataFrame, name: str):

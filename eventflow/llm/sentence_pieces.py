@@ -31,7 +31,9 @@ from eventflow.llm.common import steps, texts, with_fields
 
 SPACE = "▁"
 #: segments, and words made of them, a Python worker remembers; when full, a memo starts anew
-MEMO_SEGMENTS, MEMO_WORDS = 1_000_000, 300_000
+MEMO_SEGMENTS, MEMO_WORDS = 300_000, 150_000
+#: bytes of text that are cut and encoded at once
+TEXT_BYTES = 2 << 20
 #: segments of up to so many signs share one array of agendas
 SHORT = 24
 _NONE = np.int32(2 ** 31 - 1)
@@ -306,7 +308,7 @@ def encode_decode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model_file)
-        for b in steps(batches, at):
+        for b in steps(batches, at, TEXT_BYTES):
             counts, ids, decoded = vocab.encode_texts(b.column(at).to_pylist())
             kept = [b.column(i) for i in range(b.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
