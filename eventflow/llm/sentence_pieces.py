@@ -31,7 +31,7 @@ from eventflow.llm.common import steps, texts, with_fields
 
 SPACE = "▁"
 #: segments, and words made of them, a Python worker remembers; when full, a memo starts anew
-MEMO_SEGMENTS, MEMO_WORDS = 300_000, 150_000
+MEMO_SEGMENTS, MEMO_WORDS = 500_000, 200_000
 #: bytes of text that are cut and encoded at once
 TEXT_BYTES = 2 << 20
 #: segments of up to so many signs share one array of agendas
