@@ -16,10 +16,13 @@ number of words, is the text's rate. The margin keeps the noise of ordinary
 words out of long texts. The rate's square root is mapped to a probability by
 a logistic curve fitted on the training texts.
 
-Counts cover every labelled training row and grow with the input. The scores
-of five-grams and of contexts live in two tables with a fixed number of slots
-(SLOTS, CONTEXT_SLOTS), the only thing that is broadcast; five-grams that
-share a slot share their mean ratio, weighted by counts.
+Counts cover every labelled training row and grow with the input. Every
+five-gram and every context keeps its own ratio. A five-gram in no more than
+DISCOUNT toxic texts has exactly its context's ratio, and a context without
+another five-gram the ratio 0, so only the others have to be known to score.
+They are the only thing that is broadcast: one key a slot in two tables, and
+those whose slot another key has in sorted lists (12 bytes each), which grow
+with the five-grams that stand in more than DISCOUNT toxic training texts.
 
 Training uses labelled rows whose crc32 of the id as text is not 1 modulo 3.
 Labels that are null, or given twice with different values, are not used. A
@@ -132,19 +135,52 @@ def _lower_orders(counted: DataFrame) -> DataFrame:
             .select("four", ((F.col("c") - LOWER_DISCOUNT) / F.col("s") + LOWER_DISCOUNT * F.col("n") / F.col("s") * F.col("p3")).alias("p")))
 
 
+class Exact:
+    """A value for each of many keys: one key a slot, the others in a sorted list."""
+
+    def __init__(self, bits: int, rows: pa.Table):
+        self.value = np.full(1 << bits, np.nan, np.float32)
+        self.owner = np.zeros(1 << bits, np.uint64)
+        at = rows.column("slot").to_numpy()
+        self.value[at] = rows.column("ratio").to_numpy()
+        self.owner[at] = rows.column("key").to_numpy().astype(np.uint64)
+        more = pa.concat_arrays(rows.column("more").chunks).flatten() if rows.num_rows else None
+        keys, values = (np.zeros(0, np.uint64), np.zeros(0, np.float32)) if more is None else (
+            more.field("key").to_numpy(zero_copy_only=False).astype(np.uint64),
+            more.field("ratio").to_numpy(zero_copy_only=False).astype(np.float32))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    def __getitem__(self, slots: np.ndarray) -> np.ndarray:
+        return self.value[slots]
+
+    def of(self, key: np.ndarray) -> np.ndarray:
+        """The keys' values; NaN for a key that is not held."""
+        at = slot(key, len(self.value).bit_length() - 1)
+        got = self.value[at]
+        other = np.flatnonzero(self.owner[at] != key)
+        got[other] = np.nan
+        if len(self.keys):
+            asked = key[other]
+            place = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+            held = self.keys[place] == asked
+            got[other[held]] = self.values[place[held]]
+        return got
+
+
 class Ratios:
-    """Log-likelihood ratios by slot: of five-grams seen in training, and of contexts for the others."""
+    """Log-likelihood ratios: of five-grams seen in training, and of contexts for the others."""
 
-    def __init__(self, seen: np.ndarray, context: np.ndarray):
+    def __init__(self, seen: Exact, context: Exact):
         self.seen, self.context = seen, context
 
     def of_texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sum of what the words' ratios have beyond the margin, and number of words, of each text."""
         folded, starts = stream(*text_bytes(column))
         key, whole = grams(folded, starts)
-        got = self.seen[slot(key, SLOT_BITS)]
+        got = self.seen.of(key)
         new = np.isnan(got)
-        got[new] = self.context[slot(key[new] >> np.uint64(8), CONTEXT_BITS)]
+        got[new] = np.nan_to_num(self.context.of(key[new] >> np.uint64(8)))
         got[~whole] = 0
         begin = folded == 32  # each word with the space that leads it
         word = np.bincount(np.cumsum(begin) - 1, got, int(begin.sum()))
@@ -156,7 +192,12 @@ class Ratios:
 
 
 def fit(train: DataFrame) -> Ratios:
-    """The models' ratios from (toxic, text). At most 2**SLOT_BITS + 2**CONTEXT_BITS numbers reach the driver."""
+    """The models' ratios from (toxic, text).
+
+    One five-gram a slot reaches the driver, one context a slot, and what else
+    has a ratio of its own: five-grams of more than DISCOUNT toxic texts, and
+    their contexts.
+    """
     counted = staged(count_grams(train), "toxicity-counts")
     context = counted.groupBy(F.shiftright("gram", 8).alias("context")).agg(
         F.sum("t").alias("ct"), F.sum("o").alias("co"), F.sum(F.least("t", F.lit(DISCOUNT))).alias("nt"),
@@ -172,29 +213,28 @@ def fit(train: DataFrame) -> Ratios:
 
     ordinary = chance("o", "no", "co", F.col("p"))
 
-    weight = F.col("t") + F.col("o")
     mixed = (counted.join(context, F.shiftright("gram", 8) == F.col("context"))
              .join(lower, F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF)) == F.col("four"))
-             .withColumn("ratio", F.log(chance("t", "nt", "ct", ordinary)) - F.log(ordinary)))
-    seen = np.full(1 << SLOT_BITS, np.nan, np.float32)
-    empty = np.zeros(1 << CONTEXT_BITS, np.float32)
-    for df, key, ratio, w, into, bits in (
-            (mixed, "gram", F.col("ratio"), weight, seen, SLOT_BITS),
-            (context, "context", F.log(freed("nt", "ct")), F.col("ct") + F.col("co"), empty, CONTEXT_BITS)):
-        at = df.select(F.col(key).alias("key"), ratio.alias("ratio"), w.alias("w"))
-        slots = _with_slot(at, bits).groupBy("slot").agg(
-            (F.sum(F.col("ratio") * F.col("w")) / F.sum("w")).cast("float").alias("ratio")).toArrow()
-        into[slots.column("slot").to_numpy()] = slots.column("ratio").to_numpy()
-    return Ratios(seen, empty)
+             .select(F.col("gram").alias("key"), (F.log(chance("t", "nt", "ct", ordinary)) - F.log(ordinary)).alias("ratio"),
+                     (F.col("t") > DISCOUNT).alias("own")))
+    apart = context.where("nt < ct").select(F.col("context").alias("key"), F.log(freed("nt", "ct")).alias("ratio"), F.lit(True).alias("own"))
+    return Ratios(_exact(mixed, SLOT_BITS), _exact(apart, CONTEXT_BITS))
+
+
+def _exact(df: DataFrame, bits: int) -> Exact:
+    """The ratios of (key, ratio, own); a key that is not ``own`` is held if its slot is free."""
+    best, more = F.max(F.struct("own", "key", "ratio")), F.collect_list(F.when(F.col("own"), F.struct("key", "ratio")))
+    slots = _with_slot(df, bits).groupBy("slot").agg(best.alias("best"), more.alias("more"))
+    return Exact(bits, slots.select("slot", "best.key", "best.ratio", F.filter("more", lambda x: x["key"] != F.col("best.key")).alias("more")).toArrow())
 
 
 def _with_slot(df: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = slot(b.column(0).to_numpy().astype(np.uint64), bits).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(s), b.column(1), b.column(2)], names=["slot", "ratio", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(s), b.column(0), b.column(1).cast(pa.float32()), b.column(2)], names=["slot", "key", "ratio", "own"])
 
-    return df.mapInArrow(run, "slot int, ratio double, w long")
+    return df.mapInArrow(run, "slot int, key long, ratio float, own boolean")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:

@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy, what may be learnt from, and odd rows."""
 
+import itertools
 import random
 import zlib
 
@@ -101,3 +102,20 @@ def test_fit_equals_plain_counts(spark):
         want = np.log(upper(t, g, ordinary)) - np.log(ordinary)
         key = np.array([int.from_bytes(g, "big")], np.uint64)
         assert abs(float(ratios.seen[toxicity.slot(key, toxicity.SLOT_BITS)][0]) - want) < 1e-5
+
+
+def test_grams_of_one_slot_keep_their_own_ratios(spark):
+    words = ["".join(w) for w in itertools.product("abcdefghijklmnopqrstuvwxyz0123456789", repeat=4)]
+    key = np.array([int.from_bytes(b" " + w.encode(), "big") for w in words], np.uint64)
+    at = toxicity.slot(key, toxicity.SLOT_BITS)
+    places, n = np.unique(at, return_counts=True)
+    bad, plain, unseen = (words[k] for k in np.flatnonzero(at == places[n >= 3][0])[:3])
+    train = [(1, bad)] * 12 + [(0, f"{plain} {bad[:3]} x")] * 400
+    ratios = toxicity.fit(spark.createDataFrame(train, "toxic int, text string"))
+    rate, n_words = ratios.of_texts(pa.array([bad, plain, unseen]))
+    assert rate[0] > 0 and rate[1] == rate[2] == 0 and list(n_words) == [1, 1, 1]
+    # two toxic words of one slot: one stands in the sorted list
+    train = [(1, bad)] * 12 + [(1, plain)] * 8 + [(0, f"{unseen} {bad[:3]} x {plain[:3]} y")] * 400
+    ratios = toxicity.fit(spark.createDataFrame(train, "toxic int, text string"))
+    rate, _ = ratios.of_texts(pa.array([bad, plain, unseen]))
+    assert len(ratios.seen.keys) == 1 and rate[0] > 0 and rate[1] > 0 and rate[2] == 0
