@@ -1,8 +1,9 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-DataFrame functions only. A block is the text between line breaks or between
+DataFrame functions only. A block is the text between blank lines or between
 a full stop, exclamation mark, question mark or semicolon and the white space
-behind it. A template meets a block if the block holds at least ``threshold``
+behind it; a single line break, with comment signs behind it, is white space,
+so that a wrapped notice is one block. A template meets a block if the block holds at least ``threshold``
 of the template's distinct words (containment).
 
 The join: the words of the templates are ordered by the number of documents
@@ -45,9 +46,12 @@ TEMPLATES = (
 )
 THRESHOLD = 0.9
 
-#: what separates words, upper case included, and what separates blocks
+#: what separates words, upper case included, and what separates the blocks of the SQL, which ends them at every line
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK = r"[.!?;][\x09-\x0D\x20]+|\n+"
+#: what separates blocks: sentence ends (semicolons that begin a line are comment signs) and lines of nothing but comment signs
+WRAPPED = (r"(?:[.!?]|(?<!\n[\x09\x20]{0,8};{0,3});)[\x09-\x0D\x20]+"
+           r"|\n(?:[\x09\x0B-\x0D\x20#*/;%-]*\n)+")
 
 
 def template_words(notice: str) -> list[str]:
@@ -111,7 +115,7 @@ def matching_blocks(df: DataFrame, text_col: str = "text", templates=TEMPLATES,
         return ok
 
     blocks = (docs.where(F.exists(F.array(held), hopeful))
-              .select(_digest(F.col("text")).alias("text_digest"), F.explode(F.split("text", BLOCK, -1)).alias("block"))
+              .select(_digest(F.col("text")).alias("text_digest"), F.explode(F.split("text", WRAPPED, -1)).alias("block"))
               .withColumn("tokens", F.array_intersect(_words(F.lower("block")), _strings(vocabulary)))
               .where(F.size("tokens") >= min(needed(len(w), threshold) for w in sets)))
     rank = F.create_map(*[x for w, k in order.items() for x in (F.lit(w), F.lit(k))])

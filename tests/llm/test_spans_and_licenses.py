@@ -37,6 +37,16 @@ def test_op4_equals_every_block_against_every_template(spark, documents):
     assert sum("apache" in r[6] for r in rows) >= 3 and any(r[6] and not r[5] for r in rows)
 
 
+def test_op4_finds_wrapped_notices(spark, documents):
+    mit, bsd = NOTICES[2].split(), NOTICES[6].split()
+    lines = [(" ".join(w[:n]), " ".join(w[n:])) for w, n in ((mit, 13), (bsd, 10))]
+    texts = [f"{PROSE[0]}\n\n{a}{gap}{b}\n\n{PROSE[1]}" for a, b in lines for gap in ("\n", "\r\n", "\n * ", "\n# ", "\n    // ", "\n;; ")]
+    apart = [f"{a}{gap}{b}" for a, b in lines for gap in ("\n\n", "\n #\n# ", ". ", ";\n")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in QUERIES["op4_licenses"](spark, documents(texts + apart)).collect()}
+    assert [got[i] for i in range(len(texts))] == [("mit", 1.0)] * 6 + [("bsd", 1.0)] * 6
+    assert all(got[len(texts) + i] == ("", 0.0) for i in range(len(apart)))
+
+
 def test_op4_runs_no_python(spark, documents):
     plan = QUERIES["op4_licenses"](spark, documents(ODD))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
