@@ -275,6 +275,9 @@ class MergeVocabulary:
         for t, p in zip(many, plain):
             if p and p[0] is None:
                 own = list({s for s in p[1:] if s not in self.by_segment})
+                if len(self.by_segment) + len(own) > MEMO_SEGMENTS:
+                    self.by_segment.clear()
+                    own = list(set(p[1:]))
                 if own:
                     self.learn(own)
                 got = "".join([self.by_segment[s] for s in p[1:]])

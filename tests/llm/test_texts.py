@@ -48,6 +48,20 @@ def test_op8_long_segment_uses_a_heap_with_the_same_result():
         assert v.encode_segment(s) == v.merge_short([s])[0]
 
 
+def test_op8_memo_stays_bounded_over_odd_texts(monkeypatch):
+    import public_tokenizers
+    import sentencepiece
+    from eventflow.llm import sentence_pieces
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    sp, v = sentencepiece.SentencePieceProcessor(model_file=model), sentence_pieces.MergeVocabulary(model)
+    monkeypatch.setattr(sentence_pieces, "MEMO_SEGMENTS", 50)
+    rng = random.Random(8)
+    for _ in range(20):
+        many = ["  " + "  ".join("".join(rng.choices("etaoinshr", k=6)) for _ in range(10)) for _ in range(5)]
+        assert v.encode_texts(many)[1] == [",".join(map(str, sp.encode(t))) for t in many]
+        assert len(v.by_segment) <= 50
+
+
 def spans_by_regex(text):
     out = {}
     out["email"] = [m.span() for m in re.finditer(pii.EMAIL, text)]
