@@ -83,7 +83,7 @@ def parse_ips(text: str, start: int) -> tuple[list[tuple[int, int]], int]:
     for k in range(0, len(parts) - 3, 4):
         four = parts[k:k + 4]
         b = a + sum(map(len, four)) + 3
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in four):
             out.append((a, b))
         a = b + 1
     return out, chain.end()

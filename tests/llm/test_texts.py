@@ -92,6 +92,12 @@ def test_op9_equals_patterns(spark, documents):
     assert by_row(got, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == sorted(want, key=repr)
 
 
+def test_op9_digit_chain_beyond_the_digit_limit():
+    zeros = "0" * 5000
+    assert pii.parse_ips(f"{zeros}.1.2.{zeros}7", 0) == ([(0, 10006)], 10006)
+    assert pii.parse_ips(f"{zeros}256.1.2.3", 0) == ([], 5009)
+
+
 def test_op9_own_kinds():
     f = pii.find_spans("IBAN: DE89 3704 0044 0532 0130 00, Account no. 12345678; see https://me:pw@host.org/x")
     assert f["account"] == [(6, 33), (47, 55)] and f["login"] == [(69, 74)]
