@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import decontaminate, licenses, permutation_index, pii, quality, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
+from eventflow.llm import decontaminate, licenses, merkle, permutation_index, pii, quality, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,14 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("string")
+    got = merkle.manifest(docs, tampered={"n_chars": more}, when=F.crc32(F.col("doc_id").cast("string")) % 7 == 0)
+    return got.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.proof(F.col("path"))).alias("proof_sha256"),
+                      "folded_root", "verified")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -73,8 +81,10 @@ QUERIES = {
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_pii": op9_pii,
     "op10_permutation_index": op10_permutation_index,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE: dict[str, str] = {
     "op4_licenses": licenses.oracle_sql(),
+    "op12_merkle": merkle.oracle_sql(),
 }
