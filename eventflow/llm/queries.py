@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import decontaminate, licenses, merkle, permutation_index, pii, quality, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
+from eventflow.llm import collocations, decontaminate, licenses, merkle, permutation_index, pii, quality, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "folded_root", "verified")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = collocations.collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+    return got.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -82,9 +87,11 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_permutation_index": op10_permutation_index,
     "op12_merkle": op12_merkle,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op4_licenses": licenses.oracle_sql(),
     "op12_merkle": merkle.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
 }
