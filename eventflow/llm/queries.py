@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import collocations, decontaminate, licenses, merkle, permutation_index, pii, quality, sentence_pieces, sentence_spans, simhash, suffix_dedup, toxicity
+from eventflow.llm import (collocations, decontaminate, licenses, merkle, permutation_index, pii, quality, sentence_pieces, sentence_spans,
+                           simhash, suffix_dedup, token_files, toxicity)
+from eventflow.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +64,15 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = scratch_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    got = token_files.read(spark, path, docs.schema["doc_id"].dataType, tokens=False)
+    return got.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     more = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("string")
@@ -86,6 +97,7 @@ QUERIES = {
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_pii": op9_pii,
     "op10_permutation_index": op10_permutation_index,
+    "op11_token_files": op11_token_files,
     "op12_merkle": op12_merkle,
     "op13_collocations": op13_collocations,
 }

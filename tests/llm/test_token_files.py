@@ -1,0 +1,131 @@
+"""Token files: the library's ids, exact round trips, any range, damage."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from eventflow.llm import token_files
+from eventflow.llm.queries import QUERIES
+from tests.llm.conftest import SCHEMA, rows_of
+from tests.llm.test_texts import ODD, PROSE, by_row
+
+RNG = random.Random(11)
+MODEL = public_tokenizers.path("byte_bpe_50k.json")
+COLS = ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def library_ids(text):
+    return np.array([*Tokenizer.from_file(MODEL).encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+
+
+def strange(n):
+    alphabet = ["a", "B", "'s", "'ll", "'", "1", "½", "é", "日", "  ", " ", "\n", "\t", "\x1c", "\x85", " ", "​", "　", ".", "$$", "\U0001F600",
+                "\U0001E900", "౜", "ǅ", "<|endoftext|>", "\x00", "_", "́"]
+    return ["".join(RNG.choices(alphabet, k=RNG.randint(1, 40))) for _ in range(n)]
+
+
+def test_memo_gives_the_librarys_ids(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMO_WORDS", 300)
+    monkeypatch.setattr(token_files, "SLICE", 50)
+    code, library = token_files.Encoder(MODEL), Tokenizer.from_file(MODEL)
+    for text in [x or "" for x in ODD] + PROSE + strange(3000):
+        assert code(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+        assert len(code.memo) <= 300 or len(code.memo) <= len(text)
+
+
+def test_settled_characters_split_alike():
+    code, library = token_files.Encoder(MODEL), Tokenizer.from_file(MODEL)
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000, 7), *range(0x10000, 0x20000, 13)]):
+        if code.settled(c):
+            s = f"a{c}1{c} {c}-{c}  {c}{c}"
+            assert [s[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(s)] == code.split(s)
+
+
+@pytest.mark.parametrize("n, kinds", [(1, 1), (63, 5), (64, 2), (5000, 300), (70000, 50000), (200_000, 3)])
+def test_blocks_round_trip_and_any_range(n, kinds):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.geometric(0.02, n), kinds).astype(np.int64) - 1 + 7
+    table = token_files.Table(token_files.Table.scaled(np.bincount(ids, minlength=kinds + 9), 20), 20)
+    block, slots = token_files.encode(ids, table), table.slots()
+    assert (token_files.decode(block, table, slots) == ids).all()
+    for _ in range(20):
+        a, b = sorted(rng.integers(0, n + 1, 2).tolist())
+        assert (token_files.decode(block, table, slots, a, b) == ids[a:b]).all()
+    p = np.bincount(ids)[np.bincount(ids) > 0] / n
+    assert n < 50_000 or len(block) < n * -(p * np.log2(p)).sum() / 8 * 1.02 + 20_000
+    for k in rng.integers(0, len(block), 10).tolist():
+        hurt = bytearray(block)
+        hurt[k] ^= 1 << int(rng.integers(8))
+        with pytest.raises(ValueError):
+            token_files.decode(bytes(hurt), table, slots)
+    fixed = bytearray(block)  # damage under a block checksum that is made right again
+    fixed[-6] ^= 64
+    fixed[-4:] = zlib.crc32(bytes(fixed[:-4])).to_bytes(4, "little")
+    with pytest.raises(ValueError):
+        token_files.decode(bytes(fixed), table, slots)
+
+
+def test_frequencies_sum_up():
+    rng = np.random.default_rng(5)
+    for counts in (rng.integers(0, 3, 1 << 12), np.array([10 ** 15, 1, 1, 0]), np.ones(1 << 12, np.int64), np.array([0, 3]), rng.zipf(1.2, 3000)):
+        freq = token_files.Table.scaled(counts.astype(np.int64), 12)
+        assert freq.sum() == 1 << 12 and ((freq > 0) == (counts > 0)).all()
+
+
+def plain(rows):
+    docs = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    out, start = [], 0
+    for r in docs:
+        ids = library_ids(r[1])
+        out.append((r[0], start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_op11_equals_plain_stream(spark, documents):
+    texts = ODD + PROSE + strange(60)
+    rows = rows_of(texts)
+    got = QUERIES["op11_token_files"](spark, documents(texts))
+    assert got.columns == COLS and by_row(got, *COLS) == sorted(plain(rows), key=repr)
+
+
+def test_small_blocks_files_and_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_TOKENS", 40)
+    texts = PROSE + strange(40)
+    rows = [(i * 37 % 101 - 20, t, None, None, None, None, None, None) for i, t in enumerate(texts)]
+    path = str(tmp_path / "out")
+    token_files.write(spark.createDataFrame(rows, SCHEMA).repartition(3), path, MODEL, 2)
+    got = sorted(token_files.read(spark, path).collect(), key=lambda r: r["start"])
+    assert [(r["id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got] == plain(rows)
+    by_id = {r[0]: r[1] for r in rows}
+    assert all(bytes(r["tokens"]) == library_ids(by_id[r["id"]]).tobytes() for r in got)
+    blocks = spark.read.parquet(path + "/blocks")
+    parts = blocks.groupBy("part").agg(F.min("start").alias("a"), F.max(F.col("start") + F.col("n_tokens")).alias("b")).orderBy("part").collect()
+    assert len(parts) == 4 and all(x["b"] == y["a"] for x, y in zip(parts, parts[1:]))
+    table = spark.read.parquet(path + "/table").agg(F.sum("frequency"), F.sum("occurrences")).first()
+    assert tuple(table) == (1 << token_files.BITS, sum(r["n_tokens"] for r in got))
+
+
+def test_an_id_of_many_rows_is_more_than_one_range(spark, tmp_path):
+    rows = [(5, RNG.choice(PROSE), None, None, None, None, None, None) for _ in range(400)]
+    token_files.write(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "out"), MODEL, 2)
+    got = token_files.read(spark, str(tmp_path / "out"), tokens=False)
+    assert got.agg(F.sum("n_tokens")).first()[0] == sum(len(library_ids(r[1])) for r in rows)
+    assert spark.read.parquet(str(tmp_path / "out/blocks")).select("part").distinct().count() == 4
+
+
+def test_text_ids_and_long_text(spark, tmp_path):
+    df = spark.createDataFrame([("b", "x y " * 300_000), ("a", None)], "name string, body string")
+    token_files.write(df, str(tmp_path / "out"), MODEL, 2, "name", "body")
+    got = sorted(token_files.read(spark, str(tmp_path / "out"), df.schema["name"].dataType).collect(), key=lambda r: r["start"])
+    assert [(r["id"], r["start"]) for r in got] == [("a", 0), ("b", 1)]
+    assert bytes(got[1]["tokens"]) == library_ids("x y " * 300_000).tobytes()
+
+
+def test_empty_table(spark, no_documents):
+    assert QUERIES["op11_token_files"](spark, no_documents).count() == 0
