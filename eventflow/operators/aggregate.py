@@ -1,13 +1,15 @@
 """User-defined incremental aggregates (zero / add / merge / result).
 
 Spark's built-in aggregates are always preferred. When the logic is custom,
-this runs it in two Arrow-batched phases so that no group's rows are ever
-gathered in one place:
+this runs it in Arrow-batched phases so that no group's rows, and not even all
+its partial accumulators, are ever gathered in one place:
 
 1. ``mapInPandas``: every task folds its own batches into one accumulator per
    group (a combiner), flushing when it holds too many groups;
-2. ``groupBy(keys).applyInPandas``: the partial accumulators of a group (at
-   most a few per input partition) are merged and turned into the result.
+2. a middle merge per (group, salt), the salt dealing the tasks of step 1 into
+   ``fan`` parts;
+3. ``groupBy(keys).applyInPandas``: at most ``fan`` accumulators a group are
+   merged and turned into the result.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 
@@ -45,24 +48,21 @@ class Accumulator:
         raise NotImplementedError
 
 
-def aggregate(df: DataFrame, keys: Sequence[str], acc: Accumulator,
-              max_groups_per_flush: int = 50_000) -> DataFrame:
+FAN = 32
+_SALT = "__salt"
+
+
+def partials(df: DataFrame, keys: Sequence[str], acc: Accumulator, max_groups_per_flush: int = 50_000) -> DataFrame:
+    """(keys, accumulator fields): what each task has folded of each group."""
     keys = list(keys)
     cols = keys + [c for c in (acc.columns or df.columns) if c not in keys]
     d = df.select(*cols)
-    key_fields = [d.schema[k] for k in keys]
-    partial_schema = StructType(key_fields + list(acc.acc_fields))
-    result_schema = StructType(key_fields + list(acc.result_fields))
-    acc_names = [f.name for f in acc.acc_fields]
+    names = [f.name for f in acc.acc_fields]
 
     def _rows(state: dict) -> pd.DataFrame:
-        recs = []
-        for k, a in state.items():
-            kk = k if isinstance(k, tuple) else (k,)
-            recs.append(list(kk) + [a[n] for n in acc_names])
-        return pd.DataFrame.from_records(recs, columns=keys + acc_names)
+        return pd.DataFrame.from_records([[*k, *[a[n] for n in names]] for k, a in state.items()], columns=keys + names)
 
-    def partial(batches):
+    def fold(batches):
         state: dict = {}
         for pdf in batches:
             if pdf.empty:
@@ -76,17 +76,42 @@ def aggregate(df: DataFrame, keys: Sequence[str], acc: Accumulator,
         if state:
             yield _rows(state)
 
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
+    return d.mapInPandas(fold, StructType([d.schema[k] for k in keys] + list(acc.acc_fields)))
+
+
+def merged(parts: DataFrame, keys: Sequence[str], acc: Accumulator, fan: int = FAN) -> DataFrame:
+    """(keys, accumulator fields), one row a group: merged per (group, salt) first, then per group."""
+    keys = list(keys)
+    names = [f.name for f in acc.acc_fields]
+    one = StructType([parts.schema[k] for k in keys] + list(acc.acc_fields))
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         total = acc.zero()
-        for rec in pdf[acc_names].to_dict("records"):
+        for rec in pdf[names].to_dict("records"):
             total = acc.merge(total, rec)
-        res = acc.result(total)
-        out = {k: [pdf[k].iloc[0]] for k in keys}
-        out.update({f.name: [res[f.name]] for f in acc.result_fields})
-        return pd.DataFrame(out)
+        return pd.DataFrame({k: [pdf[k].iloc[0]] for k in keys} | {n: [total[n]] for n in names})
+
+    salted = parts.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(fan)))
+    middle = salted.groupBy(*keys, _SALT).applyInPandas(merge, one)
+    return middle.groupBy(*keys).applyInPandas(merge, one)
 
-    partials = d.mapInPandas(partial, partial_schema)
-    return partials.groupBy(*keys).applyInPandas(final, result_schema)
+
+def results(accs: DataFrame, keys: Sequence[str], acc: Accumulator) -> DataFrame:
+    """(keys, result fields) of merged accumulators."""
+    keys = list(keys)
+    names, out = [f.name for f in acc.acc_fields], [f.name for f in acc.result_fields]
+
+    def finish(batches):
+        for pdf in batches:
+            got = [acc.result(rec) for rec in pdf[names].to_dict("records")]
+            yield pd.DataFrame({k: pdf[k] for k in keys} | {n: [g[n] for g in got] for n in out})
+
+    return accs.mapInPandas(finish, StructType([accs.schema[k] for k in keys] + list(acc.result_fields)))
+
+
+def aggregate(df: DataFrame, keys: Sequence[str], acc: Accumulator,
+              max_groups_per_flush: int = 50_000, fan: int = FAN) -> DataFrame:
+    return results(merged(partials(df, keys, acc, max_groups_per_flush), keys, acc, fan), keys, acc)
 
 
 class CountIf(Accumulator):

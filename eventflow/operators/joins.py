@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow import schemas as S
-from eventflow.functions.expressions import warn_message
+from eventflow.functions.expressions import share_percent, warn_message
 from eventflow.functions.time import epoch_us, from_epoch_us, interval_us
 from eventflow.operators import ordered
 from eventflow.operators.running import tag_union
@@ -31,6 +31,16 @@ def connect(left: DataFrame, right: DataFrame, tag: str = "side") -> DataFrame:
     return tag_union(left, right, tag)
 
 
+def connected_share(left: DataFrame, right: DataFrame, key: str, name: str = "share", order: Sequence[str] = ("ts", "event_id"),
+                    bucket: str | None = None) -> DataFrame:
+    """J4 with keyed state, batch form: a count per key and side, and after every row of either side the left side's
+    share in per cent. Both counts are bucketed running sums, so a hot key is split by time."""
+    both = tag_union(left.select(key, *order), right.select(key, *order))
+    side = lambda t: F.when(F.col("side") == t, 1).otherwise(0).cast("long")
+    r = ordered.running_sums(both, {"n_left": side("left"), "n_right": side("right")}, order, [key], bucket)
+    return r.withColumn(name, share_percent(F.col("n_left"), F.col("n_right")))
+
+
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str | tuple[str, str]], size: str,
                 left_ts: str = "ts", right_ts: str = "ts") -> DataFrame:
     """Inner join of rows with equal key in the same tumbling window.

@@ -91,9 +91,12 @@ def _join_back(inner: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
 
 def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] = ("ts", "event_id"),
                  keys: Sequence[str] = (), bucket: str | int | None = None,
-                 keep_internal: bool = False) -> DataFrame:
+                 keep_internal: bool = False, start: DataFrame | None = None) -> DataFrame:
     """Inclusive running sums per ``keys`` in ``order`` (first column = time).
 
+    ``start`` (the keys and the names of ``sums``) holds sums that came before
+    these rows; it joins the bucket table, not the rows.
+
     ``sums`` maps output name -> column to sum (use ``F.lit(1)`` for a row
     number, ``F.when(pred, 1).otherwise(0)`` for a running conditional count).
     """
@@ -115,6 +118,11 @@ def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] =
     w_b = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BUCKET, *[
         F.coalesce(F.sum(f"__t_{n}").over(w_b), F.lit(0)).alias(f"__o_{n}") for n in vcols])
+    if start is not None:
+        first = start.select(*[F.col(k).alias(f"__sk_{i}") for i, k in enumerate(keys)], *[F.col(n).alias(f"__s_{n}") for n in vcols])
+        same = [carry[k].eqNullSafe(first[f"__sk_{i}"]) for i, k in enumerate(keys)]
+        carry = carry.join(first, on=same, how="left").select(*keys, BUCKET, *[
+            (F.col(f"__o_{n}") + F.coalesce(F.col(f"__s_{n}"), F.lit(0))).alias(f"__o_{n}") for n in vcols])
     out = _join_back(inner, carry, keys)
     out = out.select("*", *[(F.col(f"__in_{n}") + F.col(f"__o_{n}")).alias(n) for n in vcols])
     drop = [c for n in vcols for c in (f"__in_{n}", f"__o_{n}", vcols[n])]

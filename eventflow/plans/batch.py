@@ -389,6 +389,16 @@ def connected(spark, sf):
     return c.select("event_id", "side", "user_id", "sku", "product_id")
 
 
+@query("connected_state", f"""SELECT event_id, user_id, side,
+  CAST(count(*) FILTER (WHERE side = 'left') OVER w AS DOUBLE) * 100.0 / CAST(count(*) OVER w AS DOUBLE) AS share
+FROM (SELECT event_id, user_id, ts, 'left' AS side FROM {CART}
+      UNION ALL SELECT event_id, user_id, ts, 'right' AS side FROM {CATALOG})
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def connected_state(spark, sf):
+    """J4 keyed: each user's share of cart events among cart and catalog events so far, after every event of either."""
+    return joins.connected_share(_cart(spark, sf), _catalog(spark, sf), "user_id").select("event_id", "user_id", "side", "share")
+
+
 # ---------------------------------------------------------------- routing
 
 @query("side_output", f"""SELECT CASE WHEN user_id = 1 THEN 'side' ELSE 'main' END AS route, count(*) AS n

@@ -9,6 +9,7 @@ from eventflow.plans.sqlviews import CART
 from eventflow.session import scratch_path
 from eventflow.sinks import upsert
 from eventflow.sinks.files import to_text_stream, write_text
+from eventflow.sinks.rich import LineFileSink, run_rich_sink
 from eventflow.sources.tables import read_table
 from eventflow.sources.views import cart_events
 from eventflow.streaming.replay import line_text_stream, replay
@@ -49,6 +50,15 @@ def custom_sink_roundtrip(spark, sf):
     return spark.read.text(path).select("value")
 
 
+@query("rich_sink_roundtrip", LINES_SQL)
+def rich_sink_roundtrip(spark, sf):
+    """K7: a per-row sink with open, process and close, each partition of an epoch published once, read back."""
+    path = scratch_path(spark, "rich_sink")
+    rows = cart_events(replay(spark, sf)).select("event_id", "user_id", "sku")
+    run_rich_sink(rows, LineFileSink(path, lambda r: f"{r.event_id},{r.user_id},{r.sku}"), path + "__checkpoint")
+    return spark.read.text(path)
+
+
 @query("line_source", LINES_SQL)
 def line_source(spark, sf):
     """A user's line source: the text stream with the user's own decoding

@@ -13,7 +13,8 @@ from eventflow.plans.sqlviews import CART, HOUR, SERVER, ts_of, wstart
 from eventflow.session import scratch_path
 from eventflow.sources.tables import read_table
 from eventflow.sources.views import cart_events, catalog_events, rules_from_events, server_events
-from eventflow.streaming import forms
+from eventflow.operators.aggregate import CountIf
+from eventflow.streaming import connected, forms, keyed
 from eventflow.streaming.replay import replay, replay_dir, write_time_slice
 from eventflow.streaming.runner import run_available_now, run_foreach_batch
 
@@ -28,37 +29,37 @@ def _read_batches(spark, path):
 
 @query("stream_running_count", ORACLE["running_count"])
 def stream_running_count(spark, sf):
-    """A4 T form: value state per user."""
-    s = forms.stream_running_count(cart_events(_stream(spark, sf)))
-    return run_available_now(s, "stream_running_count").select("event_id", "user_id", "n")
+    """A4 T form: bucketed running sums of each micro-batch, counts per user carried."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_running_count", keyed.running_count_fn(cart_events))
+    return _read_batches(spark, path).select("event_id", "user_id", "n")
 
 
 @query("stream_type_counts", ORACLE["running_type_counts"])
 def stream_type_counts(spark, sf):
-    """A5 T form: map state per user."""
-    s = forms.stream_type_counts(cart_events(_stream(spark, sf)))
-    return run_available_now(s, "stream_type_counts").select("event_id", "user_id", "n_add", "n_removed")
+    """A5 T form: one carried count per user and event type."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_type_counts", keyed.type_counts_fn(cart_events))
+    return _read_batches(spark, path).select("event_id", "user_id", "n_add", "n_removed")
 
 
 @query("stream_list_size", ORACLE["running_list_size"])
 def stream_list_size(spark, sf):
-    """A6 T form: list state per user."""
-    s = forms.stream_list_size(cart_events(_stream(spark, sf)))
-    return run_available_now(s, "stream_list_size").select("event_id", "user_id", "n")
+    """A6 T form: size of each user's list, carried."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_list_size", keyed.running_count_fn(cart_events))
+    return _read_batches(spark, path).select("event_id", "user_id", "n")
 
 
 @query("stream_count_with_reset", ORACLE["count_with_reset"])
 def stream_count_with_reset(spark, sf):
-    """A8 T form: value state cleared past 10."""
-    s = forms.stream_running_count(cart_events(_stream(spark, sf)), limit=10)
-    return run_available_now(s, "stream_count_with_reset").select("event_id", "user_id", "n")
+    """A8 T form: list cleared past 10, its adds carried."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_count_with_reset", keyed.running_count_fn(cart_events, limit=10))
+    return _read_batches(spark, path).select("event_id", "user_id", "n")
 
 
 @query("stream_high_quantity", ORACLE["high_quantity_counts"])
 def stream_high_quantity(spark, sf):
-    """A9 T form: filter + value state."""
-    s = forms.stream_high_quantity(cart_events(_stream(spark, sf)), 5)
-    return run_available_now(s, "stream_high_quantity").select("event_id", "user_id", "n")
+    """A9 T form: filter, then a carried count per user."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_high_quantity", keyed.high_quantity_fn(cart_events, 5))
+    return _read_batches(spark, path).select("event_id", "user_id", "n")
 
 
 @query("stream_running_share", ORACLE["running_share"])
@@ -93,9 +94,9 @@ def stream_early_count_purging(spark, sf):
 
 @query("stream_rolling_sum", ORACLE["rolling_sum"])
 def stream_rolling_sum(spark, sf):
-    """A1 T form: running sum of quantity per user, value state."""
-    s = forms.stream_rolling_sum(cart_events(_stream(spark, sf)), "quantity")
-    return run_available_now(s, "stream_rolling_sum").select("event_id", "user_id", "running")
+    """A1 T form: running sum of quantity per user, sums carried."""
+    path = run_foreach_batch(_stream(spark, sf), "stream_rolling_sum", keyed.rolling_sum_fn(cart_events, "quantity"))
+    return _read_batches(spark, path).select("event_id", "user_id", "running")
 
 
 @query("stream_final_sum", ORACLE["final_sum"])
@@ -206,3 +207,48 @@ def stream_arrival_window(spark, sf):
     path = run_foreach_batch(g, "stream_arrival_window", fn, output_mode="update")
     newest = spark.read.parquet(path).groupBy("window_start").agg(F.max_by("n", "batch_id").alias("n"))
     return newest.agg(F.sum("n").alias("n"))
+
+
+@query("stream_connected_state", ORACLE["connected_state"])
+def stream_connected_state(spark, sf):
+    """J4 T form: one state program per user over cart and catalog events, a state per side."""
+    ev = _stream(spark, sf)
+    out = connected.stream_connect_keyed(cart_events(ev), catalog_events(ev), "user_id", connected.SideShare())
+    return run_available_now(out, "stream_connected_state").select("event_id", "user_id", "side", "share")
+
+
+@query("stream_retained_count", f"""SELECT r.* FROM ({ORACLE["retained_count"]}) r JOIN {CART} c USING (event_id)
+WHERE epoch_us(c.ts) <= (SELECT max(epoch_us(ts)) FROM {CART}) - {HOUR}""")
+def stream_retained_count(spark, sf):
+    """A7 T form in event time: rows younger than 1 hour, emitted when the watermark (1 hour behind) passes."""
+    fn = keyed.retained_count_fn(cart_events, "user_id", "1 hour", "1 hour")
+    path = run_foreach_batch(_stream(spark, sf), "stream_retained_count", fn)
+    return _read_batches(spark, path).select("event_id", "user_id", "n")
+
+
+@query("stream_registrations_agg", f"""SELECT * FROM ({ORACLE["registrations_agg_udaf"]})
+WHERE epoch_us(window_end) <= (SELECT max(epoch_us(ts)) FROM {SERVER}) - 500000""")
+def stream_registrations_agg(spark, sf):
+    """A3 / W14 T form: a user accumulator per window, carried until the watermark closes it."""
+    fn = keyed.window_aggregate_fn(server_events, "1 hour", CountIf("event_type", S.REGISTERED, "n"))
+    path = run_foreach_batch(_stream(spark, sf), "stream_registrations_agg", fn)
+    return _read_batches(spark, path).select("window_start", "window_end", "n")
+
+
+@query("stream_session_registrations", f"""SELECT * FROM ({ORACLE["session_registrations"]})
+WHERE epoch_us(window_end) <= (SELECT max(epoch_us(ts)) FROM {SERVER}) - 500000""")
+def stream_session_registrations(spark, sf):
+    """W7 T form without a key: bucketed sessions per micro-batch, open sessions carried."""
+    fn = keyed.session_count_fn(server_events, "10 minutes", F.col("event_type") == S.REGISTERED)
+    path = run_foreach_batch(_stream(spark, sf), "stream_session_registrations", fn)
+    return _read_batches(spark, path).select("window_start", "window_end", "n")
+
+
+@query("stream_busiest_window", ORACLE["busiest_window"])
+def stream_busiest_window(spark, sf):
+    """W13 T form: the best 2 h / 1 h window after each micro-batch; the newest answer."""
+    fn = keyed.busiest_window_fn(server_events, "2 hours", "1 hour", F.col("event_type") == S.REGISTERED)
+    path = run_foreach_batch(_stream(spark, sf), "stream_busiest_window", fn)
+    out = spark.read.parquet(path)
+    newest = out.groupBy().agg(F.max_by(F.struct("window_start", "window_end", "n"), "batch_id").alias("r"))
+    return newest.where("r IS NOT NULL").select("r.*")

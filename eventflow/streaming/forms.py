@@ -1,15 +1,17 @@
 """Streaming (T) forms of the operators.
 
-Keyed state programs run as ``transformWithStateInPandas`` on the key.
-Keyless running values (A10, W8) do NOT funnel the stream into one task:
-each micro-batch is computed in parallel with the batch operator, and only
-the small carry (counts so far) passes from one micro-batch to the next,
-stored per batch id next to the output so a replayed batch is idempotent.
+Keyed state programs run as ``transformWithStateInPandas`` on the key; a call
+holds one key's rows of one micro-batch. Running values (A1, A4-A6, A8-A10, W8)
+do NOT funnel a key, or a stream without one, into one task: each micro-batch is
+computed in parallel with the batch operator, and only the small carry (sums
+so far) passes from one micro-batch to the next, kept per batch id in the
+query's checkpoint (:mod:`eventflow.streaming.carry`). More carried forms are in
+:mod:`eventflow.streaming.keyed`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -20,8 +22,8 @@ from eventflow.operators import ordered
 from eventflow.operators.joins import changing_threshold
 from eventflow.operators.routing import route
 from eventflow.operators.windows import with_event_time
+from eventflow.streaming.carry import CarryLog, carried
 from eventflow.streaming.processors import ListSize, RunningCount, TypeCounts
-from eventflow.streaming.runner import _has_files
 
 
 def _out_schema(df: DataFrame, key: str, *names: str) -> StructType:
@@ -77,50 +79,41 @@ def early_count_fn(size: str, every: int, purge: bool = False, delay: str = "1 m
     view = view or cart_events
     size_us, delay_us = interval_us(size), interval_us(delay)
 
-    def fn(batch: DataFrame, batch_id: int, path: str) -> None:
+    @carried
+    def fn(batch: DataFrame, batch_id: int, path: str, log: CarryLog) -> None:
         spark = batch.sparkSession
-        root = f"{path}__carry"
         rows = view(batch)
         us = epoch_us("ts", rows)
         counts = (rows.select((us - F.pmod(us, F.lit(size_us))).alias("ws"), us.alias("us"))
                   .groupBy("ws").agg(F.count(F.lit(1)).alias("c"), F.max("us").alias("top")))
-        before = _read_state(spark, root, batch_id, _EARLY_STATE)
-        mark = before.agg(F.max("top").alias("top")).first()["top"]
+        before = log.read("open", batch_id, "ws long, n long")
+        mark = log.read_value("top", batch_id)
         closed = None if mark is None else mark - delay_us
         if closed is not None:
             counts = counts.filter(F.col("ws") + F.lit(size_us) > F.lit(closed))
-        old = before.filter("ws IS NOT NULL").select(F.col("ws").alias("ws0"), F.col("n").alias("n0"))
+        old = before.select(F.col("ws").alias("ws0"), F.col("n").alias("n0"))
         joined = counts.join(old, F.col("ws") == F.col("ws0"), "full_outer").select(
             F.coalesce("ws", "ws0").alias("ws"), F.coalesce("n0", F.lit(0)).alias("n0"),
-            (F.coalesce("n0", F.lit(0)) + F.coalesce("c", F.lit(0))).alias("n"), "top")
-        fired = F.sequence(F.floor(F.col("n0") / every) + 1, F.floor(F.col("n") / every))
-        out = (joined.filter(F.floor(F.col("n") / every) > F.floor(F.col("n0") / every))
-               .select(F.col("ws").alias("window_start_us"), (F.col("ws") + F.lit(size_us)).alias("window_end_us"),
-                       F.explode(fired).alias("firing_no"))
-               .withColumn("n", F.lit(every).cast("long") if purge else F.col("firing_no") * F.lit(every)))
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        top = joined.agg(F.max("top").alias("top")).first()["top"]
-        top = max([x for x in (top, mark) if x is not None], default=None)
-        # a row without a window carries the largest event time
-        keep = joined.filter(F.col("ws") + F.lit(size_us) > F.lit(-2 ** 62 if top is None else top - delay_us)).select("ws", "n")
-        state = keep.withColumn("top", F.lit(None).cast("long")).unionByName(
-            spark.createDataFrame([(None, None, top)], _EARLY_STATE))
-        state.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+            (F.coalesce("n0", F.lit(0)) + F.coalesce("c", F.lit(0))).alias("n"), "top").persist()  # a row an open window
+        try:
+            fired = F.sequence(F.floor(F.col("n0") / every) + 1, F.floor(F.col("n") / every))
+            out = (joined.filter(F.floor(F.col("n") / every) > F.floor(F.col("n0") / every))
+                   .select(F.col("ws").alias("window_start_us"), (F.col("ws") + F.lit(size_us)).alias("window_end_us"),
+                           F.explode(fired).alias("firing_no"))
+                   .withColumn("n", F.lit(every).cast("long") if purge else F.col("firing_no") * F.lit(every)))
+            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            top = joined.agg(F.max("top").alias("top")).first()["top"]
+            top = max([x for x in (top, mark) if x is not None], default=None)
+            log.write("open", batch_id, joined.filter(
+                F.col("ws") + F.lit(size_us) > F.lit(-2 ** 62 if top is None else top - delay_us)).select("ws", "n"))
+        finally:
+            joined.unpersist()
+        log.write_value("top", batch_id, top)
+        log.finish(batch_id)
 
     return fn
 
 
-_EARLY_STATE = "ws long, n long, top long"
-
-
-def _read_state(spark: SparkSession, root: str, batch_id: int, schema: str) -> DataFrame:
-    """What the previous micro-batch wrote; empty before the first."""
-    at = f"{root}/batch_id={batch_id - 1}"
-    if batch_id == 0 or not _has_files(spark, at):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(at)
-
-
 def early_count_output(df: DataFrame) -> DataFrame:
     return df.select(from_epoch_us(F.col("window_start_us")).alias("window_start"),
                      from_epoch_us(F.col("window_end_us")).alias("window_end"), "firing_no", "n")
@@ -159,21 +152,6 @@ def stream_interval_join(left: DataFrame, right: DataFrame, lower: str, upper: s
 
 # ---------------------------------------------------------------- carried state
 
-def _read_carry(spark: SparkSession, root: str, batch_id: int, names: list[str]) -> dict:
-    """The counters the previous micro-batch wrote; zeros before the first."""
-    at = f"{root}/batch_id={batch_id - 1}"
-    if batch_id == 0 or not _has_files(spark, at):
-        return {n: 0 for n in names}
-    row = spark.read.parquet(at).first()
-    return {n: int(row[n]) for n in names}
-
-
-def _write_carry(spark: SparkSession, root: str, batch_id: int, values: dict) -> None:
-    row = spark.createDataFrame([tuple(int(values[n]) for n in values)],
-                                StructType([StructField(n, LongType()) for n in values]))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-
-
 def running_share_batch(events_batch: DataFrame, carry: dict, bucket: str | None = None) -> tuple[DataFrame, DataFrame]:
     """One micro-batch of A10 given the counts carried from earlier batches."""
     from eventflow.sources.views import cart_events, catalog_events
@@ -208,17 +186,18 @@ def count_windows_batch(events_batch: DataFrame, carry: dict, every: int,
 
 def carried_batch_fn(step, names: list[str], **kw):
     """Wrap a (batch, carry) -> (out, totals) step as an idempotent foreachBatch."""
-    def fn(batch: DataFrame, batch_id: int, path: str) -> None:
-        spark = batch.sparkSession
-        carry_root = f"{path}__carry"
+    @carried
+    def fn(batch: DataFrame, batch_id: int, path: str, log: CarryLog) -> None:
         batch.persist()
         try:
-            carry = _read_carry(spark, carry_root, batch_id, names)
+            row = log.read("counters", batch_id, ", ".join(f"{n} long" for n in names)).first()
+            carry = {n: 0 if row is None else int(row[n]) for n in names}
             out, totals = step(batch, carry, **kw)
             out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
             t = totals.collect()[0]
-            _write_carry(spark, carry_root, batch_id,
-                         {n: carry[n] + int(t[n] or 0) for n in names})
+            values = tuple(carry[n] + int(t[n] or 0) for n in names)
+            log.write("counters", batch_id, batch.sparkSession.createDataFrame([values], ", ".join(f"{n} long" for n in names)).coalesce(1))
+            log.finish(batch_id)
         finally:
             batch.unpersist()
     return fn

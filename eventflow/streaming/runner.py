@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.session import ensure_state_store, scratch_path
+from eventflow.streaming.carry import CarryLog
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
@@ -41,14 +42,21 @@ def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, st
 
     ``fn`` must write idempotently per ``batch_id`` (e.g. overwrite
     ``{path}/batch_id={id}``), so a replayed batch after a failure gives the
-    same output.
+    same output. A function marked :func:`~eventflow.streaming.carry.carried`
+    also gets the carry log kept in the checkpoint; resuming a checkpoint whose
+    carry is gone raises before the query starts.
     """
     spark = df.sparkSession
     ensure_state_store(spark)
     path = path or scratch_path(spark, name)
     checkpoint = checkpoint or f"{path}__checkpoint"
+    more: tuple = ()
+    if getattr(fn, "carried", False):
+        log = CarryLog(spark, checkpoint)
+        log.check()
+        more = (log,)
     q = (df.writeStream
-           .foreachBatch(lambda b, i: fn(b, i, path))
+           .foreachBatch(lambda b, i: fn(b, i, path, *more))
            .outputMode(output_mode)
            .option("checkpointLocation", checkpoint)
            .trigger(availableNow=True)
