@@ -7,7 +7,6 @@ names) never clash. A null text counts as the empty text.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,12 +22,20 @@ STEP_BYTES = 1 << 19
 
 
 def col(df: DataFrame, name: str):
-    """The column of exactly that name, dots and case variants included."""
+    """The column of that name, dots included."""
     return df[f"`{name}`"]
 
 
+def only(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of exactly these names and no other, found by position: other columns whose names differ by case do not clash."""
+    at = {c: i for i, c in reversed(list(enumerate(df.columns)))}
+    numbered = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return numbered.select(*[F.col(f"_{at.get(n, 'missing ' + n)}").alias(n) for n in dict.fromkeys(names)])
+
+
 def texts(df: DataFrame, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
     """(id, text, *carry) with a null text made empty."""
+    df = only(df, [id_col, text_col, *(carry or [])])
     return df.select(col(df, id_col), F.coalesce(col(df, text_col).cast("string"), F.lit("")).alias(text_col),
                      *[col(df, c) for c in carry or []])
 
@@ -70,15 +77,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Spark's own switch: a finished execution's shuffle files go at once
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
+    """Write df to the shared scratch folder and read it back: cuts lineage, survives lost executors.
+
+    Nothing reads the write's shuffle files again, so Spark is told to drop them with it.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps whose results are staged."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

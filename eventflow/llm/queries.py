@@ -15,8 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), length=400)
-    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # 256 bytes: a passage of over 50 words, which 400 bytes may be longer than
+    got = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), length=400, passage=256)
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passage", "n_passages")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_sentences", "n_sentences_removed",
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_pieces", "n_pieces_removed",
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 

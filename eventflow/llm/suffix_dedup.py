@@ -11,24 +11,30 @@ Blockwise construction over a difference cover, bounded memory throughout:
    places are named by those bytes, dealt out by name, and each bucket of
    names is sorted by itself; a place whose neighbour has its name is tied.
 3. Only suffixes less than v in front of a tied sample place can have a long
-   common prefix with another suffix. They are sorted by the 64-bit name of
+   common prefix with another suffix. They are sorted by the 96-bit name of
    their first ``length`` bytes, one range of names (suffix bucket) after the
    other, each range dealt over all tasks: one range is in flight at a time.
 4. Suffixes with an equal neighbour mark ``length`` bytes each.
 
 Only equality of long prefixes matters here, so names (hashes of the bytes)
-stand where a full suffix array has lexicographic ranks. What is shuffled is
-four bytes a sample place and eight a suffix of step 3, without places:
-answers are bit lists in the order the names were sent. A string that a third
-of all texts hold is one entry a chunk in one bucket of names.
+stand where a full suffix array has lexicographic ranks. A name mixes hashes of
+pieces of at most PIECE bytes, under tables and multipliers drawn anew for
+every call, so no text can be made to share names; two different strings have
+one name with probability 2^-96. The four-byte names of the cover sample are a
+filter only. Every distinct name is sent once a chunk, with a bit that says
+whether it stands there more than once, and without places: answers are bit
+lists in the order of the names. A string that a third of all texts hold is one
+entry a chunk, one sign over megabytes one entry in all of them.
 
 A null text is the empty text: no bytes, nothing removed. Texts shorter than
 ``length`` lose nothing. Copies (repeated rows too) all count as other places,
 so every byte of a long text that occurs twice goes. Matches never cross texts.
+A long text is one chunk; its places are sent in parts of PART_PLACES.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import reduce
 
@@ -38,12 +44,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import col, release, shuffle_partitions, staged, steps, text_bytes, texts
+from eventflow.llm.common import col, shuffle_partitions, staged, steps, text_bytes, texts
+from eventflow.llm.wordhash import mix
 
 CHUNK_BYTES = 4 << 20
 #: ranges of names that are sorted one after the other
 RANGES = 4
-_SLICE = 1 << 20
+#: places of a chunk that are sent at once
+PART_PLACES = 1 << 23
+#: bytes that one hash covers, and hashed at once
+PIECE, _SLICE = 64, 1 << 20
 
 
 def difference_cover(r: int) -> tuple[int, list[int]]:
@@ -63,13 +73,15 @@ def cover_for(length: int) -> tuple[int, list[int]]:
 
 
 class Names:
-    """64-bit names of substrings: differences of prefix sums, scaled by their place."""
+    """96-bit names of substrings: two mixed hashes of every piece, combined under drawn multipliers."""
 
-    def __init__(self):
-        rng = np.random.default_rng(20240229)
-        self.of_byte = rng.integers(1, 2 ** 63, 256, dtype=np.uint64)
-        base = int(rng.integers(1, 2 ** 62)) * 2 + 1
-        self.up, self.down = self._powers(base), self._powers(pow(base, -1, 1 << 64))
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.hashes = []
+        for _ in range(2):
+            base = int(rng.integers(1, 2 ** 62)) * 2 + 1
+            self.hashes.append((rng.integers(1, 2 ** 63, 256, dtype=np.uint64), self._powers(base), self._powers(pow(base, -1, 1 << 64))))
+        self.factors = rng.integers(1, 2 ** 62, (2, 1 << 10), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     @staticmethod
     def _powers(base: int) -> np.ndarray:
@@ -77,37 +89,42 @@ class Names:
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    def __call__(self, data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-        """Names of data[p:p + size] for the sorted places p in ``at``; memory is bounded by the slice."""
-        out = np.empty(len(at), np.uint64)
-        room = _SLICE - size
-        if room < 1:
+    def __call__(self, data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """64 and 32 bits of the names of data[p:p + size] for the sorted places p in ``at``; memory is bounded by the slice."""
+        room, piece = _SLICE - size, min(PIECE, size)
+        shifts = [*range(0, size - piece, piece), size - piece]
+        if room < 1 or len(shifts) > self.factors.shape[1]:
             raise ValueError("strings of that length are not supported")
+        long, short = np.empty(len(at), np.uint64), np.empty(len(at), np.uint32)
         a = 0
         while a < len(at):
             start = int(at[a])
             b = int(np.searchsorted(at, start + room, "right"))
-            part = data[start:int(at[b - 1]) + size]
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(self.of_byte[part] * self.up[:len(part)], out=sums[1:])
-            p = at[a:b] - start
-            out[a:b] = (sums[p + size] - sums[p]) * self.down[p]
+            part, p = data[start:int(at[b - 1]) + size], at[a:b] - start
+            for k, (of_byte, up, down) in enumerate(self.hashes):
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(of_byte[part] * up[:len(part)], out=sums[1:])
+                mixed = mix((sums[piece:] - sums[:-piece]) * down[:len(part) - piece + 1])
+                name = np.zeros(len(p), np.uint64)
+                for j, shift in enumerate(shifts):
+                    name += mixed[p + shift] * self.factors[k, j]
+                if k:
+                    short[a:b] = mix(name) >> np.uint64(32)
+                else:
+                    long[a:b] = mix(name)
             a = b
-        out ^= out >> np.uint64(32)
-        out *= np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(32)
-        out *= np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(32)
-        return out
+        return long, short
 
 
-_NAMES: list[Names] = []
+_NAMES: dict[int, Names] = {}
 
 
-def names() -> Names:
-    if not _NAMES:
-        _NAMES.append(Names())
-    return _NAMES[0]
+def names(seed: int) -> Names:
+    if seed not in _NAMES:
+        if len(_NAMES) > 3:
+            _NAMES.clear()
+        _NAMES[seed] = Names(seed)
+    return _NAMES[seed]
 
 
 def dealt(named: np.ndarray, n: int) -> np.ndarray:
@@ -115,10 +132,45 @@ def dealt(named: np.ndarray, n: int) -> np.ndarray:
     return ((named >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def _by_bucket(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by bucket, and where each bucket begins in it."""
-    small = bucket.astype(np.uint16 if n < 1 << 16 else np.int64)
-    return np.argsort(small, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=n))))
+class Entries:
+    """The distinct names of some places, in order, and how often each stands there."""
+
+    def __init__(self, long: np.ndarray, short: np.ndarray | None):
+        self.order = np.argsort(long, kind="stable")
+        ranked = long[self.order]
+        other = ranked[1:] != ranked[:-1]
+        if short is not None:
+            second = short[self.order]
+            other |= second[1:] != second[:-1]
+        self.head = np.flatnonzero(np.concatenate(([True], other))) if len(long) else np.zeros(0, np.int64)
+        self.size = np.diff(np.append(self.head, len(long)))
+        self.long, self.short = ranked[self.head], None if short is None else second[self.head]
+
+    def cut(self, n: int) -> np.ndarray:
+        """Where each of n buckets begins among the entries (names in order are buckets in order)."""
+        return np.searchsorted(dealt(self.long, n), np.arange(n + 1))
+
+    def of_places(self, entry_bits: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.order), bool)
+        out[self.order] = np.repeat(entry_bits, self.size)
+        return out
+
+
+def tied_entries(long: np.ndarray, short: np.ndarray | None, many: np.ndarray) -> np.ndarray:
+    """Which entries of a bucket stand at more than one place: more than one entry, or marked as many."""
+    order = np.argsort(long, kind="stable")
+    if short is not None:
+        same = long[order][1:] == long[order][:-1]
+        if (same & (short[order][1:] != short[order][:-1])).any():
+            order = np.lexsort((short, long))
+    ranked = long[order]
+    same = ranked[1:] == ranked[:-1]
+    if short is not None:
+        same &= short[order][1:] == short[order][:-1]
+    out = many.copy()
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
 
 
 def sample_places(offsets: np.ndarray, size: int, period: int, cover: list[int]) -> np.ndarray:
@@ -130,17 +182,6 @@ def sample_places(offsets: np.ndarray, size: int, period: int, cover: list[int])
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
-def ties(named: np.ndarray) -> np.ndarray:
-    """Which names occur more than once."""
-    order = np.argsort(named, kind="stable")
-    ranked = named[order]
-    same = ranked[1:] == ranked[:-1]
-    out = np.zeros(len(named), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
-
-
 def _unpack(body: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     import zstandard
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(body, max_output_size=max(1, sum(sizes))), np.uint8)
@@ -180,54 +221,67 @@ def pack(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return staged(src.mapInArrow(run, out).withColumn("chunk", F.monotonically_increasing_id()), "suffix-chunks")
 
 
+_SENT = "chunk long, part int, bucket int, task int, names binary, more binary, many binary"
+
+
+def _send(chunk: int, part: int, entries: Entries, n: int, low: int, high: int, kind) -> pa.RecordBatch:
+    """The entries of the buckets low .. high of n, one row a bucket."""
+    begin = entries.cut(n)
+    filled = [k for k in range(low, high) if begin[k] < begin[k + 1]]
+    cols: list[list] = [[], [], []]
+    for k in filled:
+        own = slice(begin[k], begin[k + 1])
+        cols[0].append(entries.long[own].astype(kind).tobytes())
+        cols[1].append(b"" if entries.short is None else entries.short[own].tobytes())
+        cols[2].append(np.packbits(entries.size[own] > 1).tobytes())
+    m = len(filled)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([chunk] * m, pa.int64()), pa.array([part] * m, pa.int32()), pa.array(filled, pa.int32()), pa.array([k - low for k in filled], pa.int32()),
+         *[pa.array(c, pa.binary()) for c in cols]], names=["chunk", "part", "bucket", "task", "names", "more", "many"])
+
+
 def _answer(sent: DataFrame, buckets: int, kind) -> DataFrame:
-    """Sort each bucket of names by itself: (chunk, bucket, bits), bits in the order the names were sent."""
+    """Sort each bucket of names by itself: (chunk, part, bucket, bits), a bit an entry in the order of the names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, numbers, blobs = [], [], []
+        got: dict[int, list] = {}
         for b in batches:
-            chunks += b.column(0).to_pylist()
-            numbers += b.column(1).to_pylist()
-            blobs += [np.frombuffer(x.as_buffer(), kind) for x in b.column(2)]
+            for i in range(b.num_rows):
+                long, more = np.frombuffer(b.column(3)[i].as_buffer(), kind), np.frombuffer(b.column(4)[i].as_buffer(), np.uint32)
+                many = np.unpackbits(np.frombuffer(b.column(5)[i].as_buffer(), np.uint8), count=len(long)).astype(bool)
+                got.setdefault(b.column(2)[i].as_py(), []).append((b.column(0)[i].as_py(), b.column(1)[i].as_py(), long, more, many))
         # a task may be dealt several buckets: equal names have equal buckets
-        for k in sorted(set(numbers)):
-            own = [i for i, x in enumerate(numbers) if x == k]
-            ends = np.cumsum([len(blobs[i]) for i in own])
-            tied = ties(np.concatenate([blobs[i] for i in own]))
-            cut = np.split(tied, ends[:-1])
-            rows = [(chunks[i], k, np.packbits(c).tobytes()) for i, c in zip(own, cut) if c.any()]
-            if rows:
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                                                  pa.array(cols[2], pa.binary())], names=["chunk", "bucket", "bits"])
-
-    return sent.repartitionById(buckets, "task").select("chunk", "bucket", "names").mapInArrow(
-        run, "chunk long, bucket int, bits binary")
-
-
-def _send(chunk: int, named: np.ndarray, bucket: np.ndarray, n: int, first: int, kind) -> pa.RecordBatch:
-    order, begin = _by_bucket(bucket, n)
-    ranked = named[order].astype(kind)
-    filled = np.flatnonzero(np.diff(begin)).tolist()
-    blobs = [ranked[begin[k]:begin[k + 1]].tobytes() for k in filled]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([chunk] * len(filled), pa.int64()), pa.array([first + k for k in filled], pa.int32()),
-         pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "bucket", "task", "names"])
+        for k in sorted(got):
+            rows = got.pop(k)
+            long, more, many = (np.concatenate([r[c] for r in rows]) for c in (2, 3, 4))
+            tied = tied_entries(long, more if len(more) else None, many)
+            ends = np.cumsum([len(r[2]) for r in rows])
+            out = [(r[0], r[1], k, np.packbits(x).tobytes()) for r, x in zip(rows, np.split(tied, ends[:-1])) if x.any()]
+            if out:
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
+                                                  pa.array(cols[3], pa.binary())], names=["chunk", "part", "bucket", "bits"])
+
+    return sent.repartitionById(buckets, "task").select("chunk", "part", "bucket", "names", "more", "many").mapInArrow(
+        run, "chunk long, part int, bucket int, bits binary")
+
+
+def _read(bits: list, part: int, entries: Entries, n: int) -> np.ndarray:
+    """Answered bits of a part as bits of its places."""
+    begin, out = entries.cut(n), np.zeros(len(entries.long), bool)
+    for r in bits:
+        if r["part"] == part:
+            a, b = begin[r["bucket"]], begin[r["bucket"] + 1]
+            out[a:b] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=b - a).astype(bool)
+    return entries.of_places(out)
 
 
-def _read(bits: list, bucket: np.ndarray, n: int, first: int = 0) -> np.ndarray:
-    """Put answered bits back into the order of the places."""
-    order, begin = _by_bucket(bucket, n)
-    out = np.zeros(len(bucket), bool)
-    for r in bits:
-        k = r["bucket"] - first
-        if 0 <= k < n:
-            own = order[begin[k]:begin[k + 1]]
-            out[own] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=len(own)).astype(bool)
-    return out
+def _in_parts(at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    for k, a in enumerate(range(0, len(at), PART_PLACES)):
+        yield k, at[a:a + PART_PLACES]
 
 
 def _answered(chunks: DataFrame, answers: DataFrame) -> DataFrame:
-    lists = answers.groupBy(F.col("chunk").alias("of")).agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))
+    lists = answers.groupBy(F.col("chunk").alias("of")).agg(F.collect_list(F.struct("part", "bucket", "bits")).alias("bits"))
     return chunks.join(lists, chunks["chunk"] == lists["of"], "left").drop("of")
 
 
@@ -255,95 +309,125 @@ def _places(runs: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(runs[:, 0] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """Per row: the id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes)."""
-    spark = df.sparkSession
-    buckets = shuffle_partitions(spark)
-    period, cover = cover_for(length)
-    short = length - period + 1
-    chunks = pack(df, id_col, text_col)
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Repeats:
+    """Which ``length``-byte strings of staged chunks start at more than one place."""
+
+    def __init__(self, chunks: DataFrame, length: int):
+        self.length, self.buckets = length, shuffle_partitions(chunks.sparkSession)
+        self.period, self.cover = cover_for(length)
+        self.short = length - self.period + 1
+        self.seed = int.from_bytes(os.urandom(8), "little")  # drawn once, the same in every task and attempt
+        body = chunks.select("chunk", "sizes", "body")
+        answers = staged(_answer(body.mapInArrow(self._sample, _SENT), self.buckets, np.uint32), "suffix-cover-ties")
+        hopeful = _answered(body, answers).where("bits IS NOT NULL")
+        #: (chunk, runs, region): places that can be repeated, and their bytes
+        self.regions = staged(hopeful.mapInArrow(self._regions, "chunk long, runs binary, region binary"), "suffix-regions")
+        ranges = []
+        for k in range(RANGES):
+            sent = self.regions.mapInArrow(self._suffixes(k * self.buckets), _SENT)
+            ranges.append(staged(_answer(sent, self.buckets, np.uint64), "suffix-repeats"))
+        #: (chunk, part, bucket, bits)
+        self.bits = reduce(DataFrame.union, ranges)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("regions", "bits")}
+
+    def _cover_entries(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, np.ndarray, Entries]]:
+        for part, at in _in_parts(sample_places(off, self.short, self.period, self.cover)):
+            yield part, at, Entries(names(self.seed)(data, at, self.short)[0], None)
+
+    def _sample(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, sizes, body in zip(*[b.column(i).to_pylist() for i in range(3)]):
-                data, off = _unpack(body, sizes)
-                named = names()(data, sample_places(off, short, period, cover), short)
-                yield _send(chunk, named, dealt(named, buckets), buckets, 0, np.uint32)
+                for part, _, entries in self._cover_entries(*_unpack(body, sizes)):
+                    yield _send(chunk, part, entries, self.buckets, 0, self.buckets, np.uint32)
 
-    sent = "chunk long, bucket int, task int, names binary"
-    body = chunks.select("chunk", "sizes", "body")
-    answers = staged(_answer(body.mapInArrow(sample, sent), buckets, np.uint32), "suffix-cover-ties")
-    release(spark)
-
-    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def _regions(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         zstd = zstandard.ZstdCompressor(level=3)
         for b in batches:
             for chunk, sizes, packed, bits in zip(*[b.column(i).to_pylist() for i in range(4)]):
                 data, off = _unpack(packed, sizes)
-                at = sample_places(off, short, period, cover)
-                bucket = dealt(names()(data, at, short), buckets)
-                runs = _tied_runs(data, off, at[_read(bits, bucket, buckets)], period, length)
+                tied = [at[_read(bits, part, entries, self.buckets)] for part, at, entries in self._cover_entries(data, off)]
+                runs = _tied_runs(data, off, np.concatenate(tied), self.period, self.length) if tied else np.zeros((0, 2), np.int64)
                 if len(runs):
-                    cut = [data[a:e + length - 1] for a, e in runs.tolist()]
+                    cut = [data[a:e + self.length - 1] for a, e in runs.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([chunk], pa.int64()), pa.array([runs.tobytes()], pa.binary()),
                          pa.array([zstd.compress(np.concatenate(cut).tobytes())], pa.binary())], names=["chunk", "runs", "region"])
 
-    hopeful = _answered(body, answers).where("bits IS NOT NULL")
-    hopeful = staged(hopeful.mapInArrow(regions, "chunk long, runs binary, region binary"), "suffix-regions")
-    release(spark)
+    def _suffix_entries(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, Entries]]:
+        for part, own in _in_parts(at):
+            yield part, own, Entries(*names(self.seed)(data, own, self.length))
 
-    def suffixes(low: int):
+    def _suffixes(self, low: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for chunk, raw, region in zip(*[b.column(i).to_pylist() for i in range(3)]):
                     runs = np.frombuffer(raw, np.int64).reshape(-1, 2)
                     sizes = runs[:, 1] - runs[:, 0]
-                    data, _ = _unpack(region, (sizes + length - 1).tolist())
-                    begin = np.arange(len(runs)) * (length - 1) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                    named = names()(data, _places(np.stack([begin, begin + sizes], 1)), length)
-                    bucket = dealt(named, RANGES * buckets) - low
-                    own = (bucket >= 0) & (bucket < buckets)
-                    if own.any():
-                        yield _send(chunk, named[own], bucket[own], buckets, low, np.uint64)
+                    data, _ = _unpack(region, (sizes + self.length - 1).tolist())
+                    begin = np.arange(len(runs)) * (self.length - 1) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+                    for part, _, entries in self._suffix_entries(data, _places(np.stack([begin, begin + sizes], 1))):
+                        yield _send(chunk, part, entries, RANGES * self.buckets, low, low + self.buckets, np.uint64)
         return run
 
-    repeated = []
-    for k in range(RANGES):
-        part = hopeful.mapInArrow(suffixes(k * buckets), sent)
-        repeated.append(staged(_answer(part, buckets, np.uint64), "suffix-repeats"))
-        release(spark)
-    found = reduce(DataFrame.union, repeated)
-    runs_of = hopeful.select(F.col("chunk").alias("of"), "runs")
-    marked = _answered(chunks, found).join(runs_of, F.col("chunk") == F.col("of"), "left").select("ids", "sizes", "body", "bits", "runs")
-    out = T.StructType([df.schema[id_col], *T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary").fields])
+    def attached(self, chunks: DataFrame, name: str) -> DataFrame:
+        """chunks with the answers of their places (``<name>_bits``, ``<name>_runs``)."""
+        runs = self.regions.select(F.col("chunk").alias("of"), F.col("runs").alias(f"{name}_runs"))
+        got = _answered(chunks, self.bits).withColumnRenamed("bits", f"{name}_bits")
+        return got.join(runs, F.col("chunk") == F.col("of"), "left").drop("of")
+
+    def covered(self, data: np.ndarray, bits: list | None, raw: bytes | None) -> np.ndarray:
+        """Which bytes of a chunk a repeated string covers."""
+        if not bits:
+            return np.zeros(len(data), bool)
+        depth = np.zeros(len(data) + 1, np.int32)
+        for part, at, entries in self._suffix_entries(data, _places(np.frombuffer(raw, np.int64).reshape(-1, 2))):
+            starts = at[_read(bits, part, entries, RANGES * self.buckets)]
+            depth[starts] += 1
+            np.subtract.at(depth, starts + self.length, 1)
+        return np.cumsum(depth[:-1]) > 0
+
+
+def _by_text(marked: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marked bytes and maximal marked runs of each text."""
+    begins = marked & ~np.concatenate(([False], marked[:-1]))
+    inner = off[(off > 0) & (off < len(marked))]
+    begins[inner] = marked[inner]
+    bytes_, runs = np.concatenate(([0], np.cumsum(marked))), np.concatenate(([0], np.cumsum(begins)))
+    return bytes_[off[1:]] - bytes_[off[:-1]], runs[off[1:]] - runs[off[:-1]]
+
+
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, passage: int | None = None) -> DataFrame:
+    """Per row: the id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes).
+
+    With ``passage`` also ``n_passage`` and ``n_passages``: the bytes that ``passage``-byte strings cover which start
+    elsewhere too, and their maximal runs. They are reported, not removed: passages shorter than ``length`` repeat as well.
+    """
+    chunks = pack(df, id_col, text_col)
+    wanted = [("cut", Repeats(chunks, length))] + ([("seen", Repeats(chunks, passage))] if passage else [])
+    marked = chunks
+    for name, r in wanted:
+        marked = r.attached(marked, name)
+    marked = marked.select("ids", "sizes", "body", *[f"{n}_{x}" for n, _ in wanted for x in ("bits", "runs")])
+    more = "n_bytes long, n_removed long, n_spans long, kept binary" + (", n_passage long, n_passages long" if passage else "")
+    out = T.StructType([df.schema[id_col], *T._parse_datatype_string(more).fields])
+    finders = [r for _, r in wanted]
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kind = b.column(0).type.value_type
-            for ids, sizes, packed, bits, raw in zip(*[b.column(i).to_pylist() for i in range(5)]):
-                data, off = _unpack(packed, sizes)
-                gone = np.zeros(len(data), bool)
-                if bits:
-                    at = _places(np.frombuffer(raw, np.int64).reshape(-1, 2))
-                    bucket = dealt(names()(data, at, length), RANGES * buckets)
-                    starts = at[_read(bits, bucket, RANGES * buckets)]
-                    depth = np.zeros(len(data) + 1, np.int32)
-                    depth[starts] += 1
-                    depth[starts + length] -= 1
-                    gone = np.cumsum(depth[:-1]) > 0
-                begins = gone & ~np.concatenate(([False], gone[:-1]))
-                inner = off[(off > 0) & (off < len(data))]
-                begins[inner] = gone[inner]
-                lost, n_runs = np.concatenate(([0], np.cumsum(gone))), np.concatenate(([0], np.cumsum(begins)))
-                kept = data[~gone]
+            for row in zip(*[c.to_pylist() for c in b.columns]):
+                data, off = _unpack(row[2], row[1])
+                found = [f.covered(data, row[3 + 2 * k], row[4 + 2 * k]) for k, f in enumerate(finders)]
+                removed, spans = _by_text(found[0], off)
+                kept = data[~found[0]]
                 n = np.diff(off)
-                removed = lost[off[1:]] - lost[off[:-1]]
-                ends = np.concatenate(([0], np.cumsum(n - removed))).astype(np.int32)
+                ends = np.concatenate(([0], np.cumsum(n - removed)))
+                seen = [pa.array(x) for x in _by_text(found[1], off)] if passage else []
+                texts_kept = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(kept.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, kind), pa.array(n), pa.array(removed), pa.array(n_runs[off[1:]] - n_runs[off[:-1]]),
-                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(kept.tobytes())])],
-                    names=out.names)
+                    [pa.array(row[0], kind), pa.array(n), pa.array(removed), pa.array(spans), texts_kept.cast(pa.binary()), *seen], names=out.names)
 
     return marked.mapInArrow(remove, out)
