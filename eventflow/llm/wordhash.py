@@ -55,12 +55,28 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _OF_BYTE[data]
 
 
+#: values that one polynomial covers; longer ones could be built to share it
+PIECE = 64
+
+
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the runs values[starts[i]:ends[i]]: differences of scaled prefix sums."""
+    """64-bit hashes of the runs values[starts[i]:ends[i]]: mixed differences of scaled prefix sums.
+
+    A run of more than PIECE values is the run of its pieces' hashes.
+    """
     up, down = _powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    out = mix((sums[np.minimum(ends, starts + PIECE)] - sums[starts]) * down[starts])
+    long = np.flatnonzero(ends - starts > PIECE)
+    if len(long):
+        a, e = starts[long], ends[long]
+        count = -(-(e - a) // PIECE)
+        at = np.concatenate(([0], np.cumsum(count)))
+        begin = np.repeat(a, count) + PIECE * (np.arange(at[-1]) - np.repeat(at[:-1], count))
+        end = np.minimum(begin + PIECE, np.repeat(e, count))
+        out[long] = run_hashes(mix((sums[end] - sums[begin]) * down[begin]) + np.uint64(1), at[:-1], at[1:])
+    return out
 
 
 def shingle_hashes(words: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
