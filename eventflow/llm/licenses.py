@@ -2,17 +2,21 @@
 
 DataFrame functions only. A block is the text between blank lines or between
 a full stop, exclamation mark, question mark or semicolon and the white space
-behind it; a single line break, with comment signs behind it, is white space,
-so that a wrapped notice is one block. A template meets a block if the block holds at least ``threshold``
-of the template's distinct words (containment).
-
-The join: the words of the templates are ordered by the number of documents
-of the whole corpus that hold them, rarest first. A template needs ``o =
+behind it. Comment signs that begin a line are dropped first, and a single line
+break is white space, so that a wrapped or commented notice is one block. The
+templates are a table; a template's text is cut into blocks by the same rule
+(those of fewer than LEAST_WORDS distinct words count only if the template has
+no other), so whole licences can be given. A text's block meets a template
+block if it holds at least ``threshold`` of its distinct words (containment).
+
+The join: template words are ordered by the number of documents of the whole
+corpus that hold them, rarest first. A template block needs ``o =
 ceil(threshold * size)`` shared words, so a block that meets it shares one of
-its first ``size - o + 1`` words (prefix filter), has at least ``o`` template
-words (length filter), and the first shared word stands early enough on both
-sides for ``o`` words to remain (positional filter). Candidates are verified
-exactly. The index holds the templates only; the corpus is never broadcast.
+its first ``size - o + 1`` words (prefix filter: the only words that the
+corpus is joined on), has at least ``o`` words (length filter), and the shared
+prefix words with what stands behind the last of them can still reach ``o``
+(positional filter). Candidates are verified exactly. Nothing of the templates
+is a literal of the plan, and neither side is broadcast by hint.
 
 Base phrases are found at every place where their words stand consecutively.
 A null text counts as empty (no words, null places, empty labels, score 0).
@@ -22,13 +26,12 @@ text's digest: repeated rows give repeated results.
 
 from __future__ import annotations
 
-import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import col, texts
+from eventflow.llm.common import col, only, staged, texts
 
 # fixed values: base phrases and labels
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -46,26 +49,19 @@ TEMPLATES = (
 )
 THRESHOLD = 0.9
 
-#: what separates words, upper case included, and what separates the blocks of the SQL, which ends them at every line
+LEAST_WORDS = 5
+
+#: what separates words, upper case included
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-BLOCK = r"[.!?;][\x09-\x0D\x20]+|\n+"
-#: what separates blocks: sentence ends (semicolons that begin a line are comment signs) and lines of nothing but comment signs
-WRAPPED = (r"(?:[.!?]|(?<!\n[\x09\x20]{0,8};{0,3});)[\x09-\x0D\x20]+"
-           r"|\n(?:[\x09\x0B-\x0D\x20#*/;%-]*\n)+")
+#: comment signs at the beginning of a line, and what separates blocks once they are gone
+COMMENT = r"\n[\x09\x20]*[#*/;%-]+"
+BLOCK = r"[.!?;][\x09-\x0D\x20]+|\n(?:[\x09\x0B-\x0D\x20]*\n)+"
 
 
 def template_words(notice: str) -> list[str]:
     return sorted(set(re.split(GAP, notice.lower())) - {""})
 
 
-def needed(size: int, threshold: float) -> int:
-    return math.ceil(round(threshold * size, 9))
-
-
-def _strings(words) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
 def _words(text: Column) -> Column:
     """Words with an empty string before or behind them where a gap begins or ends the text."""
     return F.split(text, GAP, -1)
@@ -81,57 +77,63 @@ def _digest(text: Column) -> Column:
     return F.md5(text)
 
 
-def word_frequencies(docs: DataFrame, text_col: str, vocabulary: list[str]) -> dict[str, int]:
-    """In how many documents each template word stands; at most one row a template word reaches the driver."""
-    token = F.explode(F.array_intersect(_words(F.lower(col(docs, text_col))), _strings(vocabulary)))
-    return {r["token"]: r["n"] for r in docs.select(token.alias("token")).groupBy("token").agg(F.count("*").alias("n")).collect()}
+def block_words(text: Column) -> Column:
+    """The distinct words of each block of a text."""
+    plain = F.regexp_replace(text, COMMENT, "\n")
+    return F.transform(F.split(plain, BLOCK, -1), lambda b: F.array_distinct(F.filter(_words(F.lower(b)), lambda w: w != "")))
+
+
+def template_table(spark: SparkSession, templates) -> DataFrame:
+    """(label, notice) from a list of pairs or a frame of two columns."""
+    if isinstance(templates, DataFrame):
+        return templates.toDF("label", "notice")
+    return spark.createDataFrame([(label, notice) for label, notice in templates], "label string, notice string")
+
+
+def template_blocks(templates: DataFrame, threshold: float) -> DataFrame:
+    """(unit, label, words, size, needed): the templates' blocks, staged. Equal blocks of a label are one."""
+    own = templates.where("label IS NOT NULL AND notice IS NOT NULL").select("label", block_words(F.col("notice")).alias("blocks"))
+    large = F.filter("blocks", lambda w: F.size(w) >= LEAST_WORDS)
+    filled = F.filter("blocks", lambda w: F.size(w) > 0)
+    rows = own.select("label", F.explode(F.when(F.size(large) > 0, large).otherwise(filled)).alias("words")).select("label", F.array_sort("words").alias("words")).distinct()
+    size = F.size("words")
+    return staged(rows.select(F.xxhash64("label", "words").alias("unit"), "label", "words", size.alias("size"),
+                              F.ceil(F.round(size * F.lit(threshold), 9)).cast("int").alias("needed")), "license-templates")
+
+
+def prefix_index(docs: DataFrame, units: DataFrame) -> DataFrame:
+    """(token, unit, i, size, needed): the first words of each template block in the order of the corpus's document counts, staged."""
+    vocabulary = units.select(F.explode("words").alias("w")).distinct()
+    seen = docs.select(F.explode(F.array_distinct(_words(F.lower("text")))).alias("token"))
+    counts = seen.join(vocabulary, seen["token"] == vocabulary["w"]).groupBy("w").agg(F.count("*").alias("n"))
+    of = units.select("unit", "size", "needed", F.explode("words").alias("token"))
+    ranked = (of.join(counts, of["token"] == counts["w"], "left").groupBy("unit", "size", "needed")
+              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("ranked")))
+    first = F.slice("ranked", F.lit(1), F.col("size") - F.col("needed") + 1)
+    return staged(ranked.select("unit", "size", "needed", F.posexplode(first).alias("i", "r")).select("r.token", "unit", "i", "size", "needed"), "license-index")
 
 
 def matching_blocks(df: DataFrame, text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(text_digest, block, template, label, containment): every block of every text that meets a template.
+    """(text_digest, block, label, containment): every block of every text that meets a template block (``block`` is its number).
 
-    ``template`` is the place in ``templates``. Equal texts share a digest and
-    give the same rows once a copy.
+    Equal texts share a digest and give the same rows once.
     """
+    df = only(df, [text_col])
     docs = df.select(F.coalesce(col(df, text_col).cast("string"), F.lit("")).alias("text"))
-    sets = [template_words(notice) for _, notice in templates]
-    vocabulary = sorted(set().union(*sets))
-    seen = word_frequencies(docs, "text", vocabulary)
-    order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
-    rows = []
-    for k, words in enumerate(sets):
-        o = needed(len(words), threshold)
-        ranked = sorted(words, key=order.get)
-        rows += [(w, k, i, len(words), o) for i, w in enumerate(ranked[:len(words) - o + 1])]
-    index = df.sparkSession.createDataFrame(rows, "token string, template int, i int, size int, needed int")
-    # a document that misses a template's words as a whole has no block that meets it;
-    # inside exists() the document's words are looked up once, not once a template
-    held = F.array_intersect(_words(F.lower("text")), _strings(vocabulary))
-
-    def hopeful(h):
-        ok = F.lit(False)
-        for words in sets:
-            ok = ok | (F.size(F.array_intersect(h, _strings(words))) >= needed(len(words), threshold))
-        return ok
-
-    blocks = (docs.where(F.exists(F.array(held), hopeful))
-              .select(_digest(F.col("text")).alias("text_digest"), F.explode(F.split("text", WRAPPED, -1)).alias("block"))
-              .withColumn("tokens", F.array_intersect(_words(F.lower("block")), _strings(vocabulary)))
-              .where(F.size("tokens") >= min(needed(len(w), threshold) for w in sets)))
-    rank = F.create_map(*[x for w, k in order.items() for x in (F.lit(w), F.lit(k))])
-    ranked = blocks.withColumn("ranked", F.array_sort(F.transform("tokens", lambda t: F.struct(rank[t].alias("k"), t.alias("t")))))
-    probes = ranked.select("text_digest", "block", "tokens", F.size("tokens").alias("n"), F.posexplode("ranked").alias("j", "token"))
-    left_b, left_t = F.col("n") - F.col("j"), F.col("size") - F.col("i")
-    candidates = (probes.withColumn("token", F.col("token.t")).join(index, "token")
-                  .where((left_b >= F.col("needed")) & (left_t >= F.col("needed")))
-                  .select("text_digest", "block", "tokens", "template").distinct())
-    words_of = F.array(*[_strings(w) for w in sets])
-    label_of = F.array(*[F.lit(label) for label, _ in templates])
-    mine = F.get(words_of, F.col("template"))
-    shared = F.size(F.array_intersect("tokens", mine))
-    return (candidates.withColumn("containment", shared / F.size(mine))
-            .where(F.col("containment") >= threshold - 1e-9)
-            .select("text_digest", "block", "template", F.get(label_of, F.col("template")).alias("label"), "containment"))
+    units = template_blocks(template_table(df.sparkSession, templates), threshold)
+    index = prefix_index(docs, units)
+    blocks = docs.select(_digest(F.col("text")).alias("text_digest"), F.posexplode(block_words(F.col("text"))).alias("block", "words"))
+    probes = blocks.select("text_digest", "block", "words", F.explode("words").alias("word"))
+    hits = probes.join(index, probes["word"] == index["token"]).where(F.size("words") >= F.col("needed"))
+    pairs = (hits.groupBy("text_digest", "block", "unit", "size", "needed")
+             .agg(F.collect_set("i").alias("at"), F.first("words").alias("words")))
+    # besides the shared prefix words only the needed - 1 words behind the prefix can be shared
+    reach = F.size("at") + F.least(F.col("needed") - 1, F.size("words") - F.size("at"))
+    pairs = pairs.where(reach >= F.col("needed"))
+    own = units.select(F.col("unit").alias("of"), "label", F.col("words").alias("own"))
+    met = pairs.join(own, pairs["unit"] == own["of"])
+    return (met.withColumn("containment", F.size(F.array_intersect("words", "own")) / F.col("size"))
+            .where(F.col("containment") >= threshold - 1e-9).select("text_digest", "block", "label", "containment"))
 
 
 def _phrase_places(words: list[str]) -> Column:
@@ -183,11 +185,13 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: l
         F.when(F.size(every) > 0, F.lit(1.0)).otherwise(F.coalesce("_best", F.lit(0.0))).alias("score"))
 
 
-def oracle_sql() -> str:
-    """The same by brute force, every block against every template, for DuckDB."""
+def oracle_sql(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
+    """The same by brute force, every block against every template block, for DuckDB."""
     gap, lower = GAP, "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    quoted = lambda words: "[" + ", ".join("'" + w + "'" for w in words) + "]"
-    values = ", ".join(f"({k}, '{label}', {quoted(template_words(n))})" for k, (label, n) in enumerate(TEMPLATES))
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    values = ", ".join(f"({quote(label)}, {quote(notice)})" for label, notice in templates)
+    cut = lambda t: f"regexp_split_to_array(regexp_replace({t}, '{COMMENT}', chr(10), 'g'), '{BLOCK}')"
+    split = lambda b: f"list_distinct(list_filter(regexp_split_to_array(lower({b}), '{gap}'), lambda x: x <> ''))"
     places = " UNION ALL ".join(
         f"SELECT rid, '{label}' AS label, unnest(list_filter(range(0, len(w) - {len(p.split()) - 1}), lambda i: "
         + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(p.split())) + f")) AS place FROM d WHERE len(w) >= {len(p.split())}"
@@ -195,10 +199,13 @@ def oracle_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
                   list_filter(regexp_split_to_array({lower}, '{gap}'), lambda x: x <> '') AS w FROM documents),
-t(k, label, words) AS (VALUES {values}),
-b AS (SELECT rid, regexp_split_to_array(lower(unnest(regexp_split_to_array(t, '{BLOCK}'))), '{gap}') AS bw FROM d),
+v(label, notice) AS (VALUES {values}),
+tb AS (SELECT label, notice, {split("block")} AS words FROM (SELECT label, notice, unnest({cut("notice")}) AS block FROM v)),
+t AS (SELECT label, words FROM (SELECT *, max(len(words)) OVER (PARTITION BY label, notice) AS most FROM tb)
+      WHERE len(words) >= CASE WHEN most >= {LEAST_WORDS} THEN {LEAST_WORDS} ELSE 1 END),
+b AS (SELECT rid, {split("block")} AS bw FROM (SELECT rid, unnest({cut("t")}) AS block FROM d)),
 m AS (SELECT rid, label, len(list_intersect(words, bw)) / len(words) AS c FROM b, t
-      WHERE len(list_intersect(words, bw)) / len(words) >= {THRESHOLD - 1e-9}),
+      WHERE len(list_intersect(words, bw)) / len(words) >= {threshold - 1e-9}),
 p AS ({places}),
 pa AS (SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
               string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY rid),
