@@ -30,6 +30,7 @@ empty table gives a table and blocks without rows.
 
 from __future__ import annotations
 
+import gc
 import os
 import struct
 import zlib
@@ -44,11 +45,11 @@ from pyspark.sql import types as T
 
 from eventflow.llm.common import col, shuffle_partitions, staged, steps, texts
 
-BLOCK_TOKENS = 1 << 18
-LANES, STEPS = 256, 256
+BLOCK_TOKENS = 1 << 20
+LANES, STEPS = 1024, 256
 #: bits of the frequency table's sum
 BITS = 20
-#: pre-tokens that a worker remembers
+#: pre-tokens, and words between blanks, that a worker remembers
 MEMO_WORDS = 300_000
 #: letters of a text that are split at once
 SLICE = 1 << 20
@@ -59,12 +60,43 @@ _LOW = np.uint64(1 << 31)
 
 # fixed values: the pre-token pattern of byte-level vocabularies, and scripts whose characters all Unicode versions class alike
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-SETTLED = ("[\\u0000-\\u052f\\u1e00-\\u206f\\u20a0-\\u20bf\\u2100-\\u23ff\\u2500-\\u27ff\\u3000-\\u30ff\\u4e00-\\u9fa5\\uac00-\\ud7a3\\uff00-\\uffef"
-           "\\U0001f300-\\U0001f5ff]*")
+SETTLED = ("\\u0000-\\u052f\\u1e00-\\u206f\\u20a0-\\u20bf\\u2100-\\u23ff\\u2500-\\u27ff\\u3000-\\u30ff\\u4e00-\\u9fa5\\uac00-\\ud7a3\\uff00-\\uffef"
+           "\\U0001f300-\\U0001f5ff")
+#: the same without white space other than blanks and line ends
+SIMPLE = ("\\u0000-\\u0008\\n\\u000e-\\u001b\\u0020-\\u0084\\u0086-\\u009f\\u00a1-\\u052f\\u1e00-\\u1fff\\u200b-\\u2027\\u202a-\\u202e\\u2030-\\u205e"
+          "\\u2060-\\u206f\\u20a0-\\u20bf\\u2100-\\u23ff\\u2500-\\u27ff\\u3001-\\u30ff\\u4e00-\\u9fa5\\uac00-\\ud7a3\\uff00-\\uffef"
+          "\\U0001f300-\\U0001f5ff")
+
+
+class Memo(dict):
+    """Values of a function, at most ``limit`` at a time."""
+
+    def __init__(self, of, limit: int):
+        super().__init__()
+        self.of, self.limit = of, limit
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        got = self[key] = self.of(key)
+        return got
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it is visible, else one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [x for x in range(256) if x not in seen]
+    return [chr(x) if x in seen else chr(256 + hidden.index(x)) for x in range(256)]
 
 
 class Encoder:
-    """Ids of texts (as little-endian 32-bit bytes), exactly the library's, from a memo of pre-tokens."""
+    """Ids of texts (as little-endian 32-bit bytes), exactly the library's, from memos.
+
+    Pre-tokens are merged by the library's model. A blank or line end between
+    two visible characters always has a pre-token boundary in front of it, so
+    texts without other white space are looked up by what stands between them,
+    and only what is new there is split into pre-tokens.
+    """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,14 +107,19 @@ class Encoder:
         self.library = Tokenizer.from_file(model)
         spec = json.loads(self.library.to_str())
         pre = spec.get("pre_tokenizer") or {}
-        # the memo holds for plain byte-level vocabularies; any other is left to the library
+        # the memos hold for plain byte-level vocabularies; any other is left to the library
         self.plain = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                       and not pre.get("add_prefix_space") and spec.get("truncation") is None)
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.merge = self.library.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
         self.split = regex.compile(PRE_TOKEN).findall
-        self.settled = regex.compile(SETTLED).fullmatch
+        self.settled = regex.compile(f"[{SETTLED}]*").fullmatch
+        self.simple = regex.compile(f"[{SIMPLE}]*").fullmatch
         self.gap = regex.compile(r"(?<=\S) (?=\S)").search
-        self.memo: dict[str, bytes] = {}
+        self.pieces = Memo(self._piece, MEMO_WORDS)
+        self.first = Memo(lambda w: self._piece(w) if w.isalpha() else self._split(w), MEMO_WORDS)
+        self.later = Memo(self._behind_blank, MEMO_WORDS * 3)
 
     def size(self) -> int:
         return self.library.get_vocab_size(with_added_tokens=True)
@@ -90,6 +127,26 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            got = self.merge(piece.replace(" ", self.letters[32]))
+        else:
+            got = self.merge(piece.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(got)}I", *[t.id for t in got])
+
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def _behind_blank(self, word: str) -> bytes:
+        """The ids of a blank and what follows it up to the next."""
+        if word.isalpha():
+            return self._piece(" " + word)
+        if word[0] == "\n":
+            return self.pieces["\n"] + self.first[word[1:]]
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self.later[word[:-1]] + self.pieces[word[-1]]
+        return self._split(" " + word)
+
     def _slices(self, text: str) -> Iterator[str]:
         """Parts of a long text, cut in front of single blanks, where a pre-token always begins."""
         a = 0
@@ -101,27 +158,21 @@ class Encoder:
             a = m.start()
         yield text[a:]
 
-    def _words(self, words: list[str]) -> bytes:
-        memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            pass
-        distinct = set(words)
-        missing = [w for w in distinct if w not in memo]
-        if len(memo) + len(missing) > MEMO_WORDS:
-            memo.clear()
-            missing = list(distinct)
-        for a in range(0, len(missing), 50_000):
-            part = missing[a:a + 50_000]
-            for w, got in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
-                memo[w] = np.array(got.ids, "<u4").tobytes()
-        return b"".join(map(memo.__getitem__, words))
+    def _lines(self, text: str) -> bytes:
+        # a word that begins a line keeps its line end in front of it, where others have had a blank
+        words = text.replace("\n", " \n").split(" ")
+        begin = self.first[words[0]] if words[0] else b""
+        return begin + b"".join(map(self.later.__getitem__, words[1:]))
 
     def __call__(self, text: str) -> bytes:
-        if not self.plain or any(s in text for s in self.special) or not self.settled(text):
+        if not self.plain or any(s in text for s in self.special):
+            return self._whole(text)
+        if (self.simple(text) and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text)
+                and text[:1] not in " \n" and text[-1:] not in " \n"):
+            return b"".join([self._lines(part) for part in self._slices(text)])
+        if not self.settled(text):
             return self._whole(text)
-        return b"".join([self._words(self.split(part)) for part in self._slices(text)])
+        return b"".join([self._split(part) for part in self._slices(text)])
 
 
 @lru_cache(maxsize=1)
@@ -272,6 +323,7 @@ def packed(df: DataFrame, model: str, end_id: int, id_col: str, text_col: str) -
                 [pa.array([before], pa.int64()), pa.array([total], pa.int64()), pa.array([ids], pa.list_(arrow)),
                  pa.array([sizes], pa.list_(pa.int64())), pa.array([body], pa.binary())], names=out.names)
 
+        gc.disable()  # nothing here makes cycles, and the collector would walk the memos again and again
         for b in steps(batches, 1):
             arrow = b.column(0).type
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -284,6 +336,7 @@ def packed(df: DataFrame, model: str, end_id: int, id_col: str, text_col: str) -
                 sizes.append(len(got) // 4)
                 parts.append(got)
                 total += len(got) // 4
+        gc.enable()
         if ids:
             yield block()
 

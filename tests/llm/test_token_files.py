@@ -33,9 +33,10 @@ def test_memo_gives_the_librarys_ids(monkeypatch):
     monkeypatch.setattr(token_files, "MEMO_WORDS", 300)
     monkeypatch.setattr(token_files, "SLICE", 50)
     code, library = token_files.Encoder(MODEL), Tokenizer.from_file(MODEL)
-    for text in [x or "" for x in ODD] + PROSE + strange(3000):
+    plain = [" ".join(RNG.choices(["it's", "'s", "a.\nB", "é,", "12", "x", "\n", "'ll've", "日本", "¿a?"], k=RNG.randint(1, 30))) for _ in range(3000)]
+    for text in [x or "" for x in ODD] + PROSE + plain + strange(3000):
         assert code(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
-        assert len(code.memo) <= 300 or len(code.memo) <= len(text)
+        assert max(map(len, (code.pieces, code.first, code.later))) <= 900
 
 
 def test_settled_characters_split_alike():
