@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import col, shuffle_partitions, staged, steps, text_bytes
+from eventflow.llm.common import col, only, shuffle_partitions, staged, steps, text_bytes
 from eventflow.llm.wordhash import byte_values, mix, run_hashes
 
 CHUNK_BYTES = 4 << 20
@@ -73,6 +73,7 @@ def between_pieces(data: np.ndarray, limit: int) -> list[tuple[int, int]]:
 
 def chunks(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     """(chunk, langs, sizes, body): lower-cased texts packed into chunks of about CHUNK_BYTES, staged."""
+    df = only(df, [lang_col, text_col])
     src = df.select(F.coalesce(col(df, lang_col).cast("string"), F.lit("und")).alias("lang"),
                     F.coalesce(col(df, text_col).cast("string"), F.lit("")).alias("text"))
 

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import col, shuffle_partitions, staged
+from eventflow.llm.common import col, only, shuffle_partitions, staged
 
 FANOUT, DEPTH = 2, 10
 #: hex digits of a digest
@@ -181,6 +181,7 @@ def manifest(df: DataFrame, group: str = "lang", id_col: str = "doc_id",
     """
     fields = fields or [id_col, "source", "lang", "n_chars", "text"]
     tampered, when = tampered or {}, F.lit(False) if when is None else when
+    df = only(df, [*fields, group, id_col])
     values = {c: col(df, c) for c in fields}
     changed = leaf([tampered.get(c, values[c]) for c in fields])
     rows = df.select(col(df, id_col).alias("id"), col(df, group).cast("string").alias("grp"), leaf(list(values.values())).alias("hash"),

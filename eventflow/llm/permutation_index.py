@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import col, staged
+from eventflow.llm.common import col, only, staged
 
 PIVOTS, LENGTH = 512, 64
 SHARE, LEAST = 0.16, 500
@@ -43,6 +43,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vec) of the rows that take part."""
+    df = only(df, [id_col, vector_col])
     rows = df.select(col(df, id_col).cast("long").alias("id"), col(df, vector_col).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     rows = rows.where(F.col("id").isNotNull() & (F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import col, staged, steps, text_bytes, texts, with_fields
+from eventflow.llm.common import col, only, staged, steps, text_bytes, texts, with_fields
 
 SLOT_BITS, CONTEXT_BITS = 21, 19
 DISCOUNT, LOWER_DISCOUNT = 3.0, 0.75
@@ -97,6 +97,7 @@ def is_held_out(id_column):
 
 def _usable(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     """(of, toxic): one row per id that has exactly one label value."""
+    labels = only(labels, [id_col, label_col])
     return (labels.select(col(labels, id_col).alias("of"), col(labels, label_col).cast("int").alias("toxic"))
             .where("of IS NOT NULL AND toxic IN (0, 1)").groupBy("of")
             .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most"))
