@@ -45,15 +45,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.llm.common import col, shuffle_partitions, staged, steps, text_bytes, texts
-from eventflow.llm.wordhash import mix
 
 CHUNK_BYTES = 4 << 20
 #: ranges of names that are sorted one after the other
-RANGES = 4
+RANGES = 3
 #: places of a chunk that are sent at once
 PART_PLACES = 1 << 23
 #: bytes that one hash covers, and hashed at once
-PIECE, _SLICE = 64, 1 << 20
+PIECE, _SLICE = 128, 1 << 20
+_STIR = np.uint64(0xD6E8FEB86659FD93)
 
 
 def difference_cover(r: int) -> tuple[int, list[int]]:
@@ -89,29 +89,38 @@ class Names:
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    def __call__(self, data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """64 and 32 bits of the names of data[p:p + size] for the sorted places p in ``at``; memory is bounded by the slice."""
+    def __call__(self, data: np.ndarray, at: np.ndarray, size: int, both: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+        """64 and (if ``both``) 32 bits of the names of data[p:p + size] for the sorted places p in ``at``; memory is bounded by the slice."""
         room, piece = _SLICE - size, min(PIECE, size)
         shifts = [*range(0, size - piece, piece), size - piece]
         if room < 1 or len(shifts) > self.factors.shape[1]:
             raise ValueError("strings of that length are not supported")
-        long, short = np.empty(len(at), np.uint64), np.empty(len(at), np.uint32)
+        long, short = np.empty(len(at), np.uint64), np.empty(len(at), np.uint32) if both else None
         a = 0
         while a < len(at):
             start = int(at[a])
             b = int(np.searchsorted(at, start + room, "right"))
             part, p = data[start:int(at[b - 1]) + size], at[a:b] - start
-            for k, (of_byte, up, down) in enumerate(self.hashes):
+            dense = len(p) * 3 > len(part)
+            for k, (of_byte, up, down) in enumerate(self.hashes[:1 + both]):
                 sums = np.zeros(len(part) + 1, np.uint64)
                 np.cumsum(of_byte[part] * up[:len(part)], out=sums[1:])
-                mixed = mix((sums[piece:] - sums[:-piece]) * down[:len(part) - piece + 1])
-                name = np.zeros(len(p), np.uint64)
+                mixed = (sums[piece:] - sums[:-piece]) * down[:len(part) - piece + 1]
+                mixed ^= mixed >> np.uint64(32)
+                mixed *= _STIR
+                mixed ^= mixed >> np.uint64(29)
+                n = len(part) - size + 1
+                name = np.zeros(n if dense else len(p), np.uint64)
                 for j, shift in enumerate(shifts):
-                    name += mixed[p + shift] * self.factors[k, j]
+                    name += (mixed[shift:shift + n] if dense else mixed[p + shift]) * self.factors[k, j]
+                name = name[p] if dense else name
+                name ^= name >> np.uint64(32)
+                name *= _STIR
+                name ^= name >> np.uint64(29)
                 if k:
-                    short[a:b] = mix(name) >> np.uint64(32)
+                    short[a:b] = name >> np.uint64(32)
                 else:
-                    long[a:b] = mix(name)
+                    long[a:b] = name
             a = b
         return long, short
 
@@ -136,12 +145,17 @@ class Entries:
     """The distinct names of some places, in order, and how often each stands there."""
 
     def __init__(self, long: np.ndarray, short: np.ndarray | None):
-        self.order = np.argsort(long, kind="stable")
+        self.order = np.argsort(long)
         ranked = long[self.order]
         other = ranked[1:] != ranked[:-1]
         if short is not None:
             second = short[self.order]
-            other |= second[1:] != second[:-1]
+            apart = second[1:] != second[:-1]
+            if (apart & ~other).any():  # names that share their first half
+                self.order = np.lexsort((short, long))
+                second = short[self.order]
+                apart = second[1:] != second[:-1]
+            other |= apart
         self.head = np.flatnonzero(np.concatenate(([True], other))) if len(long) else np.zeros(0, np.int64)
         self.size = np.diff(np.append(self.head, len(long)))
         self.long, self.short = ranked[self.head], None if short is None else second[self.head]
@@ -158,7 +172,7 @@ class Entries:
 
 def tied_entries(long: np.ndarray, short: np.ndarray | None, many: np.ndarray) -> np.ndarray:
     """Which entries of a bucket stand at more than one place: more than one entry, or marked as many."""
-    order = np.argsort(long, kind="stable")
+    order = np.argsort(long)
     if short is not None:
         same = long[order][1:] == long[order][:-1]
         if (same & (short[order][1:] != short[order][:-1])).any():
@@ -334,7 +348,7 @@ class Repeats:
 
     def _cover_entries(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, np.ndarray, Entries]]:
         for part, at in _in_parts(sample_places(off, self.short, self.period, self.cover)):
-            yield part, at, Entries(names(self.seed)(data, at, self.short)[0], None)
+            yield part, at, Entries(names(self.seed)(data, at, self.short, False)[0], None)
 
     def _sample(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -356,9 +370,9 @@ class Repeats:
                         [pa.array([chunk], pa.int64()), pa.array([runs.tobytes()], pa.binary()),
                          pa.array([zstd.compress(np.concatenate(cut).tobytes())], pa.binary())], names=["chunk", "runs", "region"])
 
-    def _suffix_entries(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, Entries]]:
+    def _suffix_names(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         for part, own in _in_parts(at):
-            yield part, own, Entries(*names(self.seed)(data, own, self.length))
+            yield part, own, *names(self.seed)(data, own, self.length)
 
     def _suffixes(self, low: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,8 +382,10 @@ class Repeats:
                     sizes = runs[:, 1] - runs[:, 0]
                     data, _ = _unpack(region, (sizes + self.length - 1).tolist())
                     begin = np.arange(len(runs)) * (self.length - 1) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                    for part, _, entries in self._suffix_entries(data, _places(np.stack([begin, begin + sizes], 1))):
-                        yield _send(chunk, part, entries, RANGES * self.buckets, low, low + self.buckets, np.uint64)
+                    for part, _, long, short in self._suffix_names(data, _places(np.stack([begin, begin + sizes], 1))):
+                        bucket = dealt(long, RANGES * self.buckets)
+                        own = (bucket >= low) & (bucket < low + self.buckets)
+                        yield _send(chunk, part, Entries(long[own], short[own]), RANGES * self.buckets, low, low + self.buckets, np.uint64)
         return run
 
     def attached(self, chunks: DataFrame, name: str) -> DataFrame:
@@ -383,8 +399,8 @@ class Repeats:
         if not bits:
             return np.zeros(len(data), bool)
         depth = np.zeros(len(data) + 1, np.int32)
-        for part, at, entries in self._suffix_entries(data, _places(np.frombuffer(raw, np.int64).reshape(-1, 2))):
-            starts = at[_read(bits, part, entries, RANGES * self.buckets)]
+        for part, at, long, short in self._suffix_names(data, _places(np.frombuffer(raw, np.int64).reshape(-1, 2))):
+            starts = at[_read(bits, part, Entries(long, short), RANGES * self.buckets)]
             depth[starts] += 1
             np.subtract.at(depth, starts + self.length, 1)
         return np.cumsum(depth[:-1]) > 0
