@@ -35,7 +35,12 @@ def connected_share(left: DataFrame, right: DataFrame, key: str, name: str = "sh
                     bucket: str | None = None) -> DataFrame:
     """J4 with keyed state, batch form: a count per key and side, and after every row of either side the left side's
     share in per cent. Both counts are bucketed running sums, so a hot key is split by time."""
-    both = tag_union(left.select(key, *order), right.select(key, *order))
+    return connected_share_tagged(tag_union(left.select(key, *order), right.select(key, *order)), key, name, order, bucket)
+
+
+def connected_share_tagged(both: DataFrame, key: str, name: str = "share", order: Sequence[str] = ("ts", "event_id"),
+                           bucket: str | None = None) -> DataFrame:
+    """:func:`connected_share` over rows that already say their ``side``."""
     side = lambda t: F.when(F.col("side") == t, 1).otherwise(0).cast("long")
     r = ordered.running_sums(both, {"n_left": side("left"), "n_right": side("right")}, order, [key], bucket)
     return r.withColumn(name, share_percent(F.col("n_left"), F.col("n_right")))
@@ -103,7 +108,12 @@ def rule_as_of(events: DataFrame, rules: DataFrame, default: int = 0, ts: str =
                      F.col(rule_ts).alias("__t"), F.lit(0).alias("__kind"),
                      F.col(rule_tie).cast("long").alias("__tie"),
                      F.col(rule_value).alias("__rv"))
-    u = e.unionByName(r)
+    return rule_as_of_tagged(e.unionByName(r), ev_cols, default, name, bucket)
+
+
+def rule_as_of_tagged(u: DataFrame, ev_cols: Sequence[str], default: int = 0, name: str = "threshold", bucket: str | None = None) -> DataFrame:
+    """The as-of join over events and rules in one frame: ``__t`` and ``__tie`` order it, ``__kind`` is 0 for rules (with
+    their value in ``__rv``) and 1 for events."""
     out = ordered.running_last(u, "__rv", "__cur", order=("__t", "__kind", "__tie"), bucket=bucket)
     return (out.filter(F.col("__kind") == 1)
                .withColumn(name, F.coalesce(F.col("__cur"), F.lit(default)))

@@ -14,7 +14,8 @@ The bucket table has one row per (key, bucket), not per event, so its window
 is cheap; the join back lets AQE broadcast it when its measured size is under
 the broadcast threshold and shuffle-join it otherwise. Results are exact and
 deterministic (no dependence on ``spark_partition_id``). The bucket width is
-a parameter: a finer width splits a hot period over more tasks.
+a parameter: a finer width splits a hot period over more tasks; ``"adaptive"``
+cuts each heavy key at the quantiles of its own times (:func:`with_cuts`).
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ KEYLESS_BUCKET = "1 minute"
 KEYED_BUCKET = "1 hour"
 
 
+#: rows that an adaptive bucket aims at, and cut points a heavy key has at most
+ROWS_PER_BUCKET, CUTS = 100_000, 256
+ADAPTIVE = "adaptive"
+
+
 def auto_bucket(keys: Sequence[str], bucket: str | int | None) -> str | int:
     if bucket is not None:
         return bucket
@@ -71,6 +77,44 @@ def with_bucket(df: DataFrame, ts: str, bucket: str | int) -> DataFrame:
               .withColumn(BUCKET, F.expr(f"({US} - pmod({US}, {b_us})) div {b_us}")))
 
 
+def with_cuts(df: DataFrame, ts: str, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Like :func:`with_bucket`, with cuts where the rows are: ``__b`` is the number of the key's cut points at or before the row.
+
+    A key (or the whole frame, without keys) of at most ``rows`` rows is one
+    bucket, however long it lasts, so the bucket table has about a row a key; a
+    heavier one is cut at the quantiles of its own times, so a dense hour is
+    many buckets and sparse days are one. Rows are counted first; only heavy
+    keys have cut points (at most CUTS each), found by a partial + final sketch.
+    Rows of one instant stay together.
+    """
+    keys, rows = list(keys), rows or ROWS_PER_BUCKET
+    d = df.withColumn(US, _position(df, ts))
+    fractions = [k / CUTS for k in range(1, CUTS)]
+    if not keys:  # one row of at most CUTS numbers
+        whole = d.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(US, fractions, 10 * CUTS).alias("q")).first()
+        every = max(1, CUTS * rows // max(whole["n"], 1))
+        points = sorted(set((whole["q"] or [])[every - 1::every])) if whole["n"] > rows else []
+        after = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in points]), lambda c: c <= F.col(US)))
+        return d.withColumn(BUCKET, after.cast("long") if points else F.lit(0).cast("long"))
+    names = [f"__hk_{i}" for i in range(len(keys))]
+    sizes = d.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows)
+    same = [d[k].eqNullSafe(sizes[n]) for k, n in zip(keys, names)]
+    heavy = d.join(sizes, on=same, how="inner").groupBy(*names).agg(
+        F.percentile_approx(US, fractions, 10 * CUTS).alias("__q"), F.max("__n").alias("__n"))
+    # of the CUTS - 1 quantiles as many as the rows ask for, evenly
+    step = F.greatest(F.lit(1), F.floor(F.lit(CUTS) * F.lit(rows) / F.col("__n")).cast("int"))
+    cuts = heavy.select(*names, F.array_distinct(F.filter("__q", lambda q, i: F.pmod(i + 1, step) == 0)).alias("__cuts"))
+    back = [d[k].eqNullSafe(cuts[n]) for k, n in zip(keys, names)]
+    number = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= F.col(US))), F.lit(0)).cast("long")
+    return (d.join(cuts, on=back, how="left").withColumn(BUCKET, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(number))
+            .drop(*names, "__cuts"))
+
+
+def bucketed(df: DataFrame, ts: str, keys: Sequence[str], bucket: str | int | None) -> DataFrame:
+    """Time buckets of a fixed width, the automatic one for None, or adaptive ones."""
+    return with_cuts(df, ts, keys) if bucket == ADAPTIVE else with_bucket(df, ts, auto_bucket(keys, bucket))
+
+
 def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in order]
 
@@ -102,7 +146,7 @@ def running_sums(df: DataFrame, sums: dict[str, Column], order: Sequence[str] =
     """
     keys = list(keys)
     ts = order[0]
-    d = with_bucket(df, ts, auto_bucket(keys, bucket))
+    d = bucketed(df, ts, keys, bucket)
     vcols = {}
     for name, expr in sums.items():
         vcols[name] = f"__v_{name}"
@@ -141,7 +185,7 @@ def running_last(df: DataFrame, value: str, name: str, order: Sequence[str] = ("
                  keys: Sequence[str] = (), bucket: str | int | None = None) -> DataFrame:
     """Last non-null ``value`` so far (inclusive) per ``keys`` in ``order``."""
     keys = list(keys)
-    d = with_bucket(df, order[0], auto_bucket(keys, bucket))
+    d = bucketed(df, order[0], keys, bucket)
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_all = (Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
@@ -169,7 +213,7 @@ def sessionize(df: DataFrame, gap: str | int, order: Sequence[str] = ("ts", "eve
     """
     keys = list(keys)
     gap_us = interval_us(gap)
-    d = with_bucket(df, order[0], auto_bucket(keys, bucket))
+    d = bucketed(df, order[0], keys, bucket)
     w_in = Window.partitionBy(*keys, BUCKET).orderBy(*_order_cols(order))
     d = d.withColumn("__prev", F.lag(US).over(w_in))
     d = d.withColumn("__gs", F.when(F.col("__prev").isNotNull() & (F.col(US) - F.col("__prev") > gap_us),

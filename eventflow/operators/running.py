@@ -92,7 +92,7 @@ def retained_count(df: DataFrame, key: str = "user_id", retention: str = "1 hour
     mark = F.explode(F.array(F.struct(at.alias("at"), F.lit(1).alias("m")),
                              F.struct((at + F.lit(interval_us(retention))).alias("at"), F.lit(-1).alias("m"))))
     both = df.withColumn("__e", mark).select(*df.columns, F.col("__e.at").alias("__at"), F.col("__e.m").alias("__m"))
-    width = interval_us(ordered.auto_bucket([key], bucket))
+    width = bucket if bucket == ordered.ADAPTIVE else interval_us(ordered.auto_bucket([key], bucket))
     r = ordered.running_sums(both, {name: F.col("__m").cast("long")}, ("__at", "__m", tie), [key], width)
     return r.filter(F.col("__m") == 1).drop("__at", "__m")
 
@@ -128,7 +128,11 @@ def running_share(left: DataFrame, right: DataFrame, name: str = "share",
     The global running counts use the bucketed prefix sum, so the operator
     is parallel although the reference pins it to one task.
     """
-    u = tag_union(left.select(*order), right.select(*order))
+    return running_share_tagged(tag_union(left.select(*order), right.select(*order)), name, order, bucket)
+
+
+def running_share_tagged(u: DataFrame, name: str = "share", order: Sequence[str] = ORDER, bucket: str | None = None) -> DataFrame:
+    """A10 over rows that already say their ``side``: two kinds of one table, read once."""
     r = ordered.running_sums(u, {
         "n_left": F.when(F.col("side") == "left", 1).otherwise(0).cast("long"),
         "n_right": F.when(F.col("side") == "right", 1).otherwise(0).cast("long"),

@@ -19,7 +19,7 @@ from eventflow.plans.sqlviews import CART, CATALOG, HOUR, MIN, RULES, SERVER, ts
 from eventflow.sinks.bus import encode_person
 from eventflow.sources.bus import decode_person
 from eventflow.sources.tables import read_table
-from eventflow.sources.views import cart_events, catalog_events, rules_from_events, server_events
+from eventflow.sources.views import adds_and_rules, cart_and_catalog, cart_events, catalog_events, server_events
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,7 +244,7 @@ FROM (SELECT event_id, ts, 'left' AS side FROM {CART}
 WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def running_share(spark, sf):
     """A10: running share of cart events among cart + catalog events."""
-    return running.running_share(_cart(spark, sf), _catalog(spark, sf)).select("event_id", "share")
+    return running.running_share_tagged(cart_and_catalog(_events(spark, sf))).select("event_id", "share")
 
 
 # ---------------------------------------------------------------- projections
@@ -333,9 +333,8 @@ WHERE quantity > threshold""")
 def changing_threshold(spark, sf):
     """Add events above the threshold in force at their time (rules are
     derived from error events; 0 before the first rule)."""
-    ev = _events(spark, sf)
-    return joins.changing_threshold(cart_events(ev), rules_from_events(ev), default=0,
-                                    with_message=False).select("event_id", "user_id", "quantity", "threshold")
+    got = joins.rule_as_of_tagged(adds_and_rules(_events(spark, sf)), ["event_id", "user_id", "quantity"])
+    return got.filter(F.col("quantity") > F.col("threshold"))
 
 
 def _right_catalog(spark, sf):
@@ -396,7 +395,7 @@ FROM (SELECT event_id, user_id, ts, 'left' AS side FROM {CART}
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def connected_state(spark, sf):
     """J4 keyed: each user's share of cart events among cart and catalog events so far, after every event of either."""
-    return joins.connected_share(_cart(spark, sf), _catalog(spark, sf), "user_id").select("event_id", "user_id", "side", "share")
+    return joins.connected_share_tagged(cart_and_catalog(_events(spark, sf)), "user_id").select("event_id", "user_id", "side", "share")
 
 
 # ---------------------------------------------------------------- routing

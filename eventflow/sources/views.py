@@ -61,6 +61,23 @@ def server_events(events: DataFrame) -> DataFrame:
                     F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("nickname")))
 
 
+def cart_and_catalog(events: DataFrame) -> DataFrame:
+    """Cart (``left``) and catalog (``right``) events as one tagged frame, from one scan."""
+    kinds = [*S.CART_TYPES, *S.CATALOG_TYPES]
+    return events.filter(F.col("event_type").isin(kinds)).select(
+        "event_id", "user_id", "ts", F.when(F.col("event_type").isin(list(S.CATALOG_TYPES)), "right").otherwise("left").alias("side"))
+
+
+def adds_and_rules(events: DataFrame) -> DataFrame:
+    """Add events and threshold rules in one time order, from one scan, as :func:`~eventflow.operators.joins.rule_as_of_tagged` reads them."""
+    adds = [k for k, v in S.CART_TYPES.items() if v == S.ADD]
+    is_add = F.col("event_type").isin(adds)
+    value = _k() % 10
+    return events.filter(F.col("event_type").isin([*adds, "error"])).select(
+        "event_id", "user_id", F.concat(F.lit("sku-"), F.col("event_id").cast("string")).alias("sku"), value.alias("quantity"),
+        F.col("ts").alias("__t"), is_add.cast("int").alias("__kind"), F.col("event_id").alias("__tie"), F.when(~is_add, value).alias("__rv"))
+
+
 def rules_from_events(events: DataFrame, rule_name: str = "quantity-threshold") -> DataFrame:
     """A rule stream derived from the raw table: every ``error`` event sets a
     new quantity threshold ``k % 10`` effective at its time."""

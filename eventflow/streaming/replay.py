@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.functions.time import time_literal
 
 
+def _literal(path: str) -> str:
+    """A path that means itself where patterns are allowed."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def replay(spark: SparkSession, sf_dir: str, table: str = "events",
            max_files_per_trigger: int | None = None) -> DataFrame:
     """A driver table read as a file stream, in arrival (file) order.
@@ -16,10 +23,10 @@ def replay(spark: SparkSession, sf_dir: str, table: str = "events",
     :func:`eventflow.operators.windows.with_event_time` before a watermark).
     """
     path = f"{sf_dir.rstrip('/')}/{table}.parque"
-    r = spark.readStream.schema(spark.read.parquet(path + "t").schema)
+    r = spark.readStream.schema(spark.read.parquet(_literal(path + "t")).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path + "[t]")  # as a pattern it may name one file or a folder of part files
+    return r.parquet(_literal(path) + "[t]")  # as a pattern it may name one file or a folder of part files
 
 
 def replay_dir(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
