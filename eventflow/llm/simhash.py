@@ -124,10 +124,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marked = staged(fingerprints(df, id_col, text_col, shingle, carry, keep_text), "simhash-fingerprints")
     distinct = marked.groupBy("fp").agg(F.min(col(marked, id_col)).alias("rep"))
     member = components(links(distinct, max_bits))  # (node, root), only fingerprints with links
-    of = distinct.join(member, distinct["fp"] == member["node"], "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = of.join(least, "root").select(F.col("fp").alias("named_fp"), "component_id", F.col("root").alias("component_fp"))
+    of = staged(distinct.join(member, distinct["fp"] == member["node"], "left").select("fp", "rep", "root"), "simhash-roots")
+    # staged as well, so that the join's exchanges are its own: Spark can split the side of a component that holds a third of all
+    linked = of.where("root IS NOT NULL")
+    least = staged(linked.groupBy(F.col("root").alias("of")).agg(F.min("rep").alias("component_id")), "simhash-components")
+    linked = linked.join(least, linked["root"] == least["of"]).select("fp", "component_id", "root")
+    alone = of.where("root IS NULL").select("fp", F.col("rep").alias("component_id"), F.col("fp").alias("root"))
+    named = linked.unionByName(alone).select(F.col("fp").alias("named_fp"), "component_id", F.col("root").alias("component_fp"))
     return marked.join(named, marked["fp"] == named["named_fp"]).select(
         *[col(marked, c) for c in marked.columns], "component_id", "component_fp")
 
