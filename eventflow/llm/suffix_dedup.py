@@ -52,7 +52,7 @@ RANGES = 3
 #: places of a chunk that are sent at once
 PART_PLACES = 1 << 23
 #: bytes that one hash covers, and hashed at once
-PIECE, _SLICE = 128, 1 << 20
+PIECE, _SLICE = 128, 1 << 19
 _STIR = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -130,7 +130,7 @@ _NAMES: dict[int, Names] = {}
 
 def names(seed: int) -> Names:
     if seed not in _NAMES:
-        if len(_NAMES) > 3:
+        if len(_NAMES) > 1:  # a task needs two at most
             _NAMES.clear()
         _NAMES[seed] = Names(seed)
     return _NAMES[seed]
@@ -324,10 +324,10 @@ def _places(runs: np.ndarray) -> np.ndarray:
 
 
 class Repeats:
-    """Which ``length``-byte strings of staged chunks start at more than one place."""
+    """Which ``length``-byte strings of staged chunks start at more than one place, by names of 96 bits or, if not ``strong``, 64."""
 
-    def __init__(self, chunks: DataFrame, length: int):
-        self.length, self.buckets = length, shuffle_partitions(chunks.sparkSession)
+    def __init__(self, chunks: DataFrame, length: int, strong: bool = True):
+        self.length, self.strong, self.buckets = length, strong, shuffle_partitions(chunks.sparkSession)
         self.period, self.cover = cover_for(length)
         self.short = length - self.period + 1
         self.seed = int.from_bytes(os.urandom(8), "little")  # drawn once, the same in every task and attempt
@@ -370,9 +370,9 @@ class Repeats:
                         [pa.array([chunk], pa.int64()), pa.array([runs.tobytes()], pa.binary()),
                          pa.array([zstd.compress(np.concatenate(cut).tobytes())], pa.binary())], names=["chunk", "runs", "region"])
 
-    def _suffix_names(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def _suffix_names(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
         for part, own in _in_parts(at):
-            yield part, own, *names(self.seed)(data, own, self.length)
+            yield part, own, *names(self.seed)(data, own, self.length, self.strong)
 
     def _suffixes(self, low: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +385,8 @@ class Repeats:
                     for part, _, long, short in self._suffix_names(data, _places(np.stack([begin, begin + sizes], 1))):
                         bucket = dealt(long, RANGES * self.buckets)
                         own = (bucket >= low) & (bucket < low + self.buckets)
-                        yield _send(chunk, part, Entries(long[own], short[own]), RANGES * self.buckets, low, low + self.buckets, np.uint64)
+                        short = None if short is None else short[own]
+                        yield _send(chunk, part, Entries(long[own], short), RANGES * self.buckets, low, low + self.buckets, np.uint64)
         return run
 
     def attached(self, chunks: DataFrame, name: str) -> DataFrame:
@@ -402,7 +403,7 @@ class Repeats:
         for part, at, long, short in self._suffix_names(data, _places(np.frombuffer(raw, np.int64).reshape(-1, 2))):
             starts = at[_read(bits, part, Entries(long, short), RANGES * self.buckets)]
             depth[starts] += 1
-            np.subtract.at(depth, starts + self.length, 1)
+            depth[starts + self.length] -= 1
         return np.cumsum(depth[:-1]) > 0
 
 
@@ -419,10 +420,11 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Per row: the id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes).
 
     With ``passage`` also ``n_passage`` and ``n_passages``: the bytes that ``passage``-byte strings cover which start
-    elsewhere too, and their maximal runs. They are reported, not removed: passages shorter than ``length`` repeat as well.
+    elsewhere too (by 64-bit names), and their maximal runs. They are reported, not removed: passages shorter than
+    ``length`` repeat as well.
     """
     chunks = pack(df, id_col, text_col)
-    wanted = [("cut", Repeats(chunks, length))] + ([("seen", Repeats(chunks, passage))] if passage else [])
+    wanted = [("cut", Repeats(chunks, length))] + ([("seen", Repeats(chunks, passage, strong=False))] if passage else [])
     marked = chunks
     for name, r in wanted:
         marked = r.attached(marked, name)
