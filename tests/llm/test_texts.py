@@ -146,3 +146,19 @@ def test_op3_equals_brute_force(spark, documents):
 @pytest.mark.parametrize("name", ["op3_simhash", "op8_sentence_pieces", "op9_pii"])
 def test_empty_table(spark, no_documents, name):
     assert QUERIES[name](spark, no_documents).count() == 0
+
+
+def test_op3_long_texts(spark, documents):
+    long = " ".join(RNG.choices(WORDS, k=400_000))
+    got = {r["doc_id"]: r for r in QUERIES["op3_simhash"](spark, documents(["x", long, long + " end", "again " * 200_000, "again " * 9])).collect()}
+    assert got[1]["component_id"] == got[2]["component_id"] == 1 and got[3]["component_id"] == got[4]["component_id"] == 3
+    # the fingerprint by definition, from counts of the distinct shingles
+    words, votes = long.split(), {}
+    for k in range(len(words) - 3):
+        votes[" ".join(words[k:k + 4])] = votes.get(" ".join(words[k:k + 4]), 0) + 1
+    bits = [0] * 64
+    for s, n in votes.items():
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            bits[b] += n * (h >> b & 1)
+    assert got[1]["fingerprint"] == f"{sum(1 << b for b in range(64) if 2 * bits[b] > len(words) - 3):016x}"

@@ -119,3 +119,15 @@ def test_grams_of_one_slot_keep_their_own_ratios(spark):
     ratios = toxicity.fit(spark.createDataFrame(train, "toxic int, text string"))
     rate, _ = ratios.of_texts(pa.array([bad, plain, unseen]))
     assert len(ratios.seen.keys) == 1 and rate[0] > 0 and rate[1] > 0 and rate[2] == 0
+
+
+def test_long_texts_are_rated_whole(spark):
+    """What stands at the end of megabytes counts as much as at the beginning."""
+    plain = [" ".join("".join(RNG.choices(ROOTS, k=2)) for _ in range(40)) for _ in range(60)]
+    bad = " ".join(RNG.choices(BAD, k=40))
+    train = [(0, t) for t in plain] * 3 + [(1, f"{t} {bad}") for t in plain[:20]]
+    ratios = toxicity.fit(spark.createDataFrame(train, "toxic int, text string"))
+    long = " ".join(plain * 1500)
+    rate, words = ratios.of_texts(pa.array([long, f"{bad} {long}", f"{long} {bad}", bad]))
+    assert words.tolist() == [60 * 1500 * 40 + k for k in (0, 40, 40, 0)][:3] + [40]
+    assert rate[0] == 0 and rate[3] > 0 and abs(rate[1] - rate[2]) <= 0.1 * rate[3] and rate[2] > 0.8 * rate[3]
