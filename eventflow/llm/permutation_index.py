@@ -9,7 +9,7 @@ on the shard: a query reads the files of its own nearest pivots, ranks the
 shard by the footrule distance of the two orders (a missing pivot stands
 behind the last), and reranks the best ``share`` of it (at least ``least``) by
 exact Euclidean distance. Shards of at most ``least`` vectors are answered
-exactly.
+exactly, and with ``share=1`` all are: the ranking then leaves nothing out.
 
 Every row is indexed. Equal vectors are one entry of the index, so a vector
 that a third of all rows hold is one posting; the ids an answer can need (the

@@ -75,3 +75,12 @@ def test_op10_recall_with_copies(spark, tmp_path, monkeypatch):
 def test_op10_tiny_tables(spark, tmp_path, rows):
     got = answers(QUERIES["op10_permutation_index"](spark, table(spark, tmp_path, rows)))
     assert got == {q: a for q, a in brute(rows, lambda i: i % 100 == 0).items() if a}
+
+
+def test_whole_shards_reranked_are_exact(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(permutation_index, "SHARD_ROWS", 300)
+    rows = odd_rows(1200, 12)
+    df = spark.read.parquet(table(spark, tmp_path, rows) + "/embeddings.parquet")
+    got = answers(permutation_index.search(df, lambda i: i % 60 == 0, share=1.0, least=1))
+    want = brute(rows, lambda i: i % 60 == 0)
+    assert {q: [i for _, i in a] for q, a in got.items()} == {q: [i for _, i in a] for q, a in want.items()}
