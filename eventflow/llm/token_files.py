@@ -51,8 +51,8 @@ LANES, STEPS = 1024, 256
 BITS = 20
 #: pre-tokens, and words between blanks, that a worker remembers
 MEMO_WORDS = 300_000
-#: letters of a text that are split at once
-SLICE = 1 << 20
+#: letters of a text that are split at once, bytes of texts that are looked up together
+SLICE, STEP = 1 << 20, 1 << 21
 
 _HEAD = struct.Struct("<4sHBxIIQQI")
 _MAGIC, _VERSION = b"TRNS", 1
@@ -89,6 +89,14 @@ def byte_letters() -> list[str]:
     return [chr(x) if x in seen else chr(256 + hidden.index(x)) for x in range(256)]
 
 
+def _spelt(words: pa.Array) -> list[str]:
+    """The strings of a large_string array none of which holds a blank: one text, split at blanks."""
+    off = np.frombuffer(words.buffers()[1], np.int64)[:len(words) + 1]
+    joined = np.full(off[-1] + len(words), 32, np.uint8)
+    joined[np.arange(off[-1]) + np.repeat(np.arange(len(words)), np.diff(off))] = np.frombuffer(words.buffers()[2], np.uint8)[:off[-1]]
+    return joined.tobytes().decode()[:-1].split(" ")
+
+
 class Encoder:
     """Ids of texts (as little-endian 32-bit bytes), exactly the library's, from memos.
 
@@ -164,11 +172,54 @@ class Encoder:
         begin = self.first[words[0]] if words[0] else b""
         return begin + b"".join(map(self.later.__getitem__, words[1:]))
 
+    def _easy(self, text: str) -> bool:
+        """Whether single blanks and line ends between visible characters are its only white space."""
+        return bool(self.plain and not any(s in text for s in self.special) and self.simple(text)
+                    and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text)
+                    and text[:1] not in " \n" and text[-1:] not in " \n")
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of many texts: what stands between blanks is looked up once for all of them."""
+        easy = [i for i, t in enumerate(texts) if 0 < len(t) <= SLICE and self._easy(t)]
+        out: list = [None] * len(texts)
+        for i in set(range(len(texts))).difference(easy):
+            out[i] = np.frombuffer(self(texts[i]), "<u4")
+        if not easy:
+            return out
+        raw = [texts[i].encode() for i in easy]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends_of = np.cumsum([len(r) for r in raw])
+        begins_of = np.concatenate(([0], ends_of[:-1]))
+        blank, line = np.flatnonzero(data == 32), np.flatnonzero(data == 10)
+        # a line end stays in front of its word, a blank is dropped
+        starts = np.sort(np.concatenate((begins_of, blank + 1, line)))
+        sizes = np.sort(np.concatenate((ends_of, blank, line))) - starts
+        off = np.concatenate(([0], np.cumsum(sizes)))
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(data[data != 32].tobytes())])
+        coded = words.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct, opening = _spelt(coded.dictionary), np.searchsorted(starts, begins_of)
+        lead = [distinct[c] for c in codes[opening].tolist()]
+        used = np.ones(len(codes), bool)
+        used[opening] = False
+        seen = np.zeros(len(distinct), bool)
+        seen[codes[used]] = True
+        values = [self.later[w] if s else b"" for w, s in zip(distinct, seen.tolist())] + [self.first[w] for w in lead]
+        codes[opening] = len(distinct) + np.arange(len(lead))  # no blank in front of a text's first word
+        n = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+        place, flat = np.concatenate(([0], np.cumsum(n)[:-1])), np.frombuffer(b"".join(values), "<u4")
+        count = n[codes]
+        behind = np.cumsum(count)
+        ids = flat[np.repeat(place[codes] - behind + count, count) + np.arange(behind[-1])]
+        cut = np.append(behind[opening] - count[opening], behind[-1])
+        for k, i in enumerate(easy):
+            out[i] = ids[cut[k]:cut[k + 1]]
+        return out
+
     def __call__(self, text: str) -> bytes:
         if not self.plain or any(s in text for s in self.special):
             return self._whole(text)
-        if (self.simple(text) and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text)
-                and text[:1] not in " \n" and text[-1:] not in " \n"):
+        if self._easy(text):
             return b"".join([self._lines(part) for part in self._slices(text)])
         if not self.settled(text):
             return self._whole(text)
@@ -314,28 +365,27 @@ def packed(df: DataFrame, model: str, end_id: int, id_col: str, text_col: str) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         zstd, code = zstandard.ZstdCompressor(level=1), encoder(model)
-        end, kind = np.array([end_id], "<u4").tobytes(), np.uint16 if max(code.size(), end_id + 1) <= 1 << 16 else np.uint32
+        end, kind = np.array([end_id], "<u4"), np.uint16 if max(code.size(), end_id + 1) <= 1 << 16 else np.uint32
         ids, sizes, parts, total, before, arrow = [], [], [], 0, 0, None
 
         def block():
-            body = zstd.compress(np.frombuffer(b"".join(parts), "<u4").astype(kind).tobytes())
+            body = zstd.compress(np.concatenate(parts).astype(kind).tobytes())
             return pa.RecordBatch.from_arrays(
                 [pa.array([before], pa.int64()), pa.array([total], pa.int64()), pa.array([ids], pa.list_(arrow)),
                  pa.array([sizes], pa.list_(pa.int64())), pa.array([body], pa.binary())], names=out.names)
 
         gc.disable()  # nothing here makes cycles, and the collector would walk the memos again and again
-        for b in steps(batches, 1):
+        for b in steps(batches, 1, STEP):
             arrow = b.column(0).type
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                got = code(text) + end
-                if ids and total + len(got) // 4 > BLOCK_TOKENS:
+            for i, got in zip(b.column(0).to_pylist(), code.many(b.column(1).to_pylist())):
+                if ids and total + len(got) + 1 > BLOCK_TOKENS:
                     yield block()
                     before += total
                     ids, sizes, parts, total = [], [], [], 0
                 ids.append(i)
-                sizes.append(len(got) // 4)
-                parts.append(got)
-                total += len(got) // 4
+                sizes.append(len(got) + 1)
+                parts += [got, end]
+                total += len(got) + 1
         gc.enable()
         if ids:
             yield block()

@@ -36,9 +36,19 @@ def test_memo_gives_the_librarys_ids(monkeypatch):
     plain = [" ".join(RNG.choices(["it's", "'s", "a.\nB", "é,", "12", "x", "\n", "'ll've", "日本", "¿a?"], k=RNG.randint(1, 30))) for _ in range(3000)]
     for text in [x or "" for x in ODD] + PROSE + plain + strange(3000):
         assert code(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+        assert code.many([text])[0].tobytes() == code(text)
         assert max(map(len, (code.pieces, code.first, code.later))) <= 900
 
 
+def test_many_texts_at_once_give_the_librarys_ids():
+    code, library = token_files.Encoder(MODEL), Tokenizer.from_file(MODEL)
+    texts = [x or "" for x in ODD] + PROSE + strange(200) + ["a\nb c", "one", "é\nü ß.", "x " * 600_000 + "y"]
+    RNG.shuffle(texts)
+    for got, text in zip(code.many(texts), texts):
+        assert got.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:80])
+    assert code.many([]) == [] and code.many([""])[0].tolist() == []
+
+
 def test_settled_characters_split_alike():
     code, library = token_files.Encoder(MODEL), Tokenizer.from_file(MODEL)
     for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000, 7), *range(0x10000, 0x20000, 13)]):
