@@ -13,10 +13,11 @@ The join: template words are ordered by the number of documents of the whole
 corpus that hold them, rarest first. A template block needs ``o =
 ceil(threshold * size)`` shared words, so a block that meets it shares one of
 its first ``size - o + 1`` words (prefix filter: the only words that the
-corpus is joined on), has at least ``o`` words (length filter), and the shared
+corpus is joined on; a text without any is not cut into blocks at all), has at least ``o`` words (length filter), and the shared
 prefix words with what stands behind the last of them can still reach ``o``
 (positional filter). Candidates are verified exactly. Nothing of the templates
-is a literal of the plan, and neither side is broadcast by hint.
+is a literal of the plan, and neither side is broadcast by hint; the prefix
+words, a tenth of the templates' words, are one array (a scalar subquery).
 
 Base phrases are found at every place where their words stand consecutively.
 A null text counts as empty (no words, null places, empty labels, score 0).
@@ -122,7 +123,10 @@ def matching_blocks(df: DataFrame, text_col: str = "text", templates=TEMPLATES,
     docs = df.select(F.coalesce(col(df, text_col).cast("string"), F.lit("")).alias("text"))
     units = template_blocks(template_table(df.sparkSession, templates), threshold)
     index = prefix_index(docs, units)
-    blocks = docs.select(_digest(F.col("text")).alias("text_digest"), F.posexplode(block_words(F.col("text"))).alias("block", "words"))
+    # a text without any prefix word has no candidate; only the others are cut into blocks
+    prefix = index.agg(F.collect_set("token")).scalar()
+    hopeful = docs.where(F.arrays_overlap(_words(F.lower("text")), prefix))
+    blocks = hopeful.select(_digest(F.col("text")).alias("text_digest"), F.posexplode(block_words(F.col("text"))).alias("block", "words"))
     probes = blocks.select("text_digest", "block", "words", F.explode("words").alias("word"))
     hits = probes.join(index, probes["word"] == index["token"]).where(F.size("words") >= F.col("needed"))
     pairs = (hits.groupBy("text_digest", "block", "unit", "size", "needed")
