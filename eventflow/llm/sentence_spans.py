@@ -5,8 +5,8 @@ consecutive sentences is a span, however short. So that passages inside long or
 unpunctuated sentences are found too, sentences are cut into pieces by
 winnowing: behind the word with the smallest XXH64 (the last of equals) of
 every window of WINDOW words, which depends on the words alone and leaves no
-window without a cut; every run of PIECES consecutive pieces is a span as well.
-Any passage of 51 words that two texts share holds such a run: cuts next to its
+window without a cut; from every piece a run that has PIECES pieces and WORDS
+words is a span as well. Any passage of 51 words that two texts share holds such a run: cuts next to its
 edges may differ, two windows, and six cuts follow each other by at most one.
 
 Spans are hashed (words lower-cased, white space made single) and joined
@@ -20,8 +20,8 @@ a chunk, then one partial aggregate a task.
 
 Rows with the same id and the same text are one document and give the same
 result, so a repeated row keeps what its first occurrence keeps. A null text
-counts as empty. Texts are read whole; one of fewer than SENTENCES sentences
-and PIECES pieces loses nothing.
+counts as empty. Texts are read whole; one that has room for no span loses
+nothing.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from eventflow.llm.common import col, only, shuffle_partitions, staged
 from eventflow.llm.suffix_dedup import _SENT, Entries, _answer, _answered, _read, _send, _unpack, pack
 from eventflow.llm.wordhash import mix, run_hashes
 
-SENTENCES, PIECES, WINDOW = 3, 5, 6
+SENTENCES, PIECES, WORDS, WINDOW = 3, 5, 18, 6
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -134,10 +134,10 @@ class Cut:
         self.end[closing] = off[self.text[closing] + 1]
 
     def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(piece it begins at, number of pieces, two hashes) of every run of sentences or pieces that its text has room for."""
+        """(piece it begins at, number of pieces, two hashes) of every span that its text has room for."""
         bounds = np.append(self.heads, len(self.text))
         k, e = [np.arange(len(self.text)), self.heads], []
-        e.append(k[0] + PIECES)
+        e.append(np.maximum(k[0] + PIECES, np.searchsorted(self.word, self.word[:-1] + WORDS)))
         e.append(bounds[np.minimum(np.arange(len(self.heads)) + SENTENCES, len(bounds) - 1)])
         whole = np.arange(len(self.heads)) + SENTENCES < len(bounds)
         k, e = np.concatenate(k), np.concatenate(e)

@@ -137,7 +137,11 @@ def plain_dedup(rows):
         assert [(a, b, len(w)) for a, b, w, _ in cut] == sentence_spans.pieces(t.encode())
         assert b"".join(t.encode()[a:b] for a, b, _, _ in cut) == t.encode()
         heads = [k for k, c in enumerate(cut) if c[3]] + [len(cut)]
-        spans = [(k, 5, "p") for k in range(len(cut) - 4)] + [(heads[j], heads[j + 3] - heads[j], "s") for j in range(len(heads) - 3)]
+        spans = []
+        for k in range(len(cut)):  # five pieces and eighteen words
+            n = next((n for n in range(5, len(cut) - k + 1) if sum(len(c[2]) for c in cut[k:k + n]) >= 18), 0)
+            spans += [(k, n, "p")] * (n > 0)
+        spans += [(heads[j], heads[j + 3] - heads[j], "s") for j in range(len(heads) - 3)]
         for k, n, kind in spans:
             seen.setdefault((kind, b" ".join(w for s in cut[k:k + n] for w in s[2])), []).append((i is None, i or 0, t, k, n))
     gone = {}
