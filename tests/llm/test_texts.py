@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -62,6 +63,49 @@ def test_op8_memo_stays_bounded_over_odd_texts(monkeypatch):
         assert len(v.by_segment) <= 50
 
 
+def test_op8_frequent_segments_are_encoded_once_and_many_at_a_time(monkeypatch):
+    import public_tokenizers
+    from eventflow.llm import sentence_pieces
+    v = sentence_pieces.MergeVocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    monkeypatch.setattr(sentence_pieces, "MEMO_SEGMENTS", 200)
+    monkeypatch.setattr(sentence_pieces, "MEMO_WORDS", 200)
+    rng, learned, calls, learn = random.Random(9), [], [], v.learn
+    monkeypatch.setattr(v, "learn", lambda segments: (calls.append(1), learned.extend(segments), learn(segments)))
+    often, rounds = ["again", "and", "Zq xj", "é日"], 60
+    for _ in range(rounds):
+        rare = ["".join(rng.choices("etaoinshr", k=9)) for _ in range(40)]
+        many = [" ".join(often + rare[:20]), "  ".join(rare[20:]) + "  "]
+        assert v.encode_texts(many)[1] == [",".join(map(str, v.library.encode(t))) for t in many]
+        assert len(v.by_segment) <= 200 and len(v.by_word) <= 200
+    assert learned.count("▁again") == learned.count("▁and") == learned.count("▁Zq") == learned.count("▁é日") == 1
+    assert len(calls) == rounds  # texts with runs of spaces are learned along with the others
+
+
+def test_op8_wrong_ids_raise(monkeypatch):
+    import public_tokenizers
+    from eventflow.llm import sentence_pieces
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(10)
+    words = ["".join(rng.choices("etaoinshr", k=6)) for _ in range(100)]
+    for wrong in ("▁the", ".)", "é日", "▁▁▁"):  # with and without a space in front, with byte ids, spaces alone
+        for split in (False, True):  # other ids of the same text; ids of another text
+            v = sentence_pieces.MergeVocabulary(model)
+            right = v.encode_segments
+
+            def other(segments):
+                flat, count = right(segments)
+                if wrong not in segments:
+                    return flat, count
+                k = segments.index(wrong)
+                rows = [r.tolist() for r in np.split(flat, np.cumsum(count)[:-1])]
+                rows[k] = [v.byte_ids[b] for b in wrong.replace("▁", " ").encode()] if split else rows[k] + [v.ids["t"]]
+                return (np.array([i for r in rows for i in r], "int32"),
+                        np.array([len(r) for r in rows]))
+            monkeypatch.setattr(v, "encode_segments", other)
+            with pytest.raises(ValueError, match="differ|decodes"):
+                v.learn({wrong, *("▁" + w for w in words), "a", ",,"})
+
+
 def spans_by_regex(text):
     out = {}
     out["email"] = [m.span() for m in re.finditer(pii.EMAIL, text)]
