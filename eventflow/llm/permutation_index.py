@@ -133,8 +133,9 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
     classes = entries.join(asked.select("of").distinct(), F.col("rep") == F.col("of")).select("rep", "vec")
     blocks = _packed(classes, -(-max(1, asked.count()) // BLOCK), pivots, length, "block")
     blocks = blocks.select("ids", "vecs", "near", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to_shard"))
-    meet = index.join(blocks.select("to_shard", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"), F.col("near").alias("q_near")),
-                      F.col("shard") == F.col("to_shard")).select("ids", "vecs", "near", "q_ids", "q_vecs", "q_near")
+    blocks = blocks.select("to_shard", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"), F.col("near").alias("q_near"))
+    # Spark sizes the blocks without their copies for the shards and may broadcast them all; of a merge only the right side, one shard, is held
+    meet = blocks.hint("merge").join(index, F.col("shard") == F.col("to_shard")).select("ids", "vecs", "near", "q_ids", "q_vecs", "q_near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def numbers(b, i, r, kind, w=0):

@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force: exact on small tables, recall on larger ones."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -84,3 +85,15 @@ def test_whole_shards_reranked_are_exact(spark, tmp_path, monkeypatch):
     got = answers(permutation_index.search(df, lambda i: i % 60 == 0, share=1.0, least=1))
     want = brute(rows, lambda i: i % 60 == 0)
     assert {q: [i for _, i in a] for q, a in got.items()} == {q: [i for _, i in a] for q, a in want.items()}
+
+
+def test_blocks_for_all_shards_are_not_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(permutation_index, "SHARD_ROWS", 100)
+    rows = odd_rows(1200, 12)
+    df = spark.read.parquet(table(spark, tmp_path, rows) + "/embeddings.parquet")
+    got = permutation_index.search(df, lambda i: i % 100 == 0, least=100)
+    assert got.count() == 10 * len(brute(rows, lambda i: i % 100 == 0))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the blocks are copied for each shard, which Spark's size of them leaves out
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[to_shard#\d+\], \[shard#\d+\]", plan)
