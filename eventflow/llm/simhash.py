@@ -89,7 +89,8 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
                                for k, mask in enumerate(cells)]))
     # only (cell, fp) is shuffled, the same for both sides; the rest is made anew from fp
     placed = distinct.select("fp", embedded(F.col("fp")).alias("e")).select("fp", grid.alias("cell"))
-    a, b = placed.alias("a"), placed.alias("b")
+    # Spark sizes the cells as what they are made from, 70 times too low: left to itself it may broadcast them
+    a, b = placed.alias("a").hint("merge"), placed.alias("b")
     u, v = F.col("a.fp"), F.col("b.fp")
     s, t = coarse(embedded(u)), coarse(embedded(v))
     manhattan = sum(F.abs(F.shiftrightunsigned(s, 8 * g).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(t, 8 * g).bitwiseAND(F.lit(15)))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from eventflow.llm import pii
+from eventflow.llm import pii, simhash
 from eventflow.llm.queries import QUERIES
 from tests.llm.conftest import rows_of
 
@@ -187,6 +187,18 @@ def test_op3_equals_brute_force(spark, documents):
     assert by_row(got, "doc_id", "fingerprint", "component_id") == want
 
 
+def test_op3_cells_are_not_broadcast(spark):
+    # Spark sizes the cells like the few fingerprints they are made from, and these as small enough for the driver
+    rng = random.Random(11)
+    fps = [rng.getrandbits(63) for _ in range(300)]
+    fps += [f ^ 1 << rng.randrange(63) ^ 1 << rng.randrange(63) for f in fps]
+    got = simhash.links(spark.createDataFrame([(f,) for f in set(fps)], "fp long"))
+    found = {(r["u"], r["v"]) for r in got.collect()}
+    assert found == {(u, v) for u in set(fps) for v in set(fps) if u < v and (u ^ v).bit_count() <= 4} and len(found) > 200
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastExchange" not in plan and re.search(r"SortMergeJoin(\(skew=true\))? \[cell#", plan)
+
+
 @pytest.mark.parametrize("name", ["op3_simhash", "op8_sentence_pieces", "op9_pii"])
 def test_empty_table(spark, no_documents, name):
     assert QUERIES[name](spark, no_documents).count() == 0
