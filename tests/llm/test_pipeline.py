@@ -1,11 +1,12 @@
 """The pipeline against plain versions of its stages."""
 
 import random
+import re
 
 import pytest
 
 import corpus_pipeline
-from eventflow.llm import decontaminate, pii
+from eventflow.llm import decontaminate, pii, simhash
 from tests.llm.conftest import rows_of
 from tests.llm.test_decontaminate import plain_tiles, words
 from tests.llm.test_texts import ODD, plain_fingerprint
@@ -96,3 +97,15 @@ def test_run_applies_all_stages_and_empty_tables(spark, corpus, no_documents):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{no_documents}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{no_documents}/benchmark.parquet")
     assert corpus_pipeline.run(spark, no_documents).count() == 0
+
+
+def test_near_copy_cells_are_not_broadcast(spark, documents, monkeypatch):
+    seen, components = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda edges: seen.append(edges) or components(edges))
+    rng = random.Random(4)
+    base = [rng.choices([f"w{i}" for i in range(60)], k=300) for _ in range(30)]
+    folder = documents([" ".join(w) for w in base] + [" ".join([*w[:-1], "edit"]) for w in base])
+    kept = corpus_pipeline.keep_one_near_copy(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).count()
+    assert kept < 55 and seen[0].collect()
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastExchange" not in plan and re.search(r"SortMergeJoin(\(skew=true\))? \[cell#", plan)
