@@ -10,7 +10,8 @@ long segment gets a heap of its own. Every segment that enters a worker's
 bounded memo is encoded and decoded by the sentencepiece library too, many in
 one text; a difference raises. A memo has a younger and an older half: when the
 younger is full the older goes, and what is asked for again moves up, so that
-frequent segments are not encoded anew.
+frequent segments are not encoded anew. Every text is decoded by the library
+from its own ids.
 
 Nulls encode like the empty text (no ids, empty decoded text). Repeated rows
 give repeated results. Texts of any length are encoded whole: an agenda holds
@@ -352,15 +353,21 @@ class MergeVocabulary:
             last = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, new), np.int64, len(new)) + 1))
             end = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))[last].tolist()
             word.update(zip(new, map("".join(got).__getitem__, map(slice, [0, *end], end))))
-        counts, ids, decoded = [], [], []
+        counts, ids = [], []
         plain, whole = iter(plain), iter(whole)
         for t in many:
             odd = "  " in t or SPACE in t or t[:1] == " " or t[-1:] == " "
             got = "".join(map(of, next(whole)) if odd else map(word.__getitem__, next(plain)))
             counts.append(got.count(","))
             ids.append(got[:-1])
-            decoded.append(t.replace(SPACE, " "))  # learn() has decoded each segment to itself
-        return counts, ids, decoded
+        return counts, ids, self.decode_texts(counts, ids)
+
+    def decode_texts(self, counts: list[int], ids: list[str]) -> list[str]:
+        """What the library decodes each text's ids (joined by commas, so many) to."""
+        names = ",".join(filter(None, ids))
+        flat = np.fromstring(names, np.int32, sep=",") if names else np.zeros(0, np.int32)
+        end = np.cumsum(counts).tolist()
+        return self.library.decode([flat[b - n:b] for b, n in zip(end, counts)], num_threads=1)
 
 
 _LOADED: dict[str, MergeVocabulary] = {}

@@ -106,6 +106,18 @@ def test_op8_wrong_ids_raise(monkeypatch):
                 v.learn({wrong, *("▁" + w for w in words), "a", ",,"})
 
 
+def test_op8_decodes_each_text_from_its_ids():
+    import public_tokenizers
+    from eventflow.llm import sentence_pieces
+    v = sentence_pieces.MergeVocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    many = ["a tale", "", "a  tale ", "▁é日 a\x00", "tale"]
+    assert v.encode_texts(many)[2] == ["a tale", "", "a  tale ", " é日 a\x00", "tale"]
+    v.by_word.young["tale"] = v.by_word.young["a"]  # other ids: what is decoded is them, not the text that came in
+    counts, ids, decoded = v.encode_texts(many)
+    assert decoded == [v.library.decode([int(i) for i in x.split(",") if x]) for x in ids]
+    assert decoded[0] == "a a" and decoded[4] == "a" and counts[0] == 2 * counts[4]
+
+
 def spans_by_regex(text):
     out = {}
     out["email"] = [m.span() for m in re.finditer(pii.EMAIL, text)]
